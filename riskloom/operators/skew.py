@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key outside the HEAVY_KEYS heaviest has at most 1/HEAVY_KEYS of all rows.
-HEAVY_KEYS = 4096
+HEAVY_KEYS = 65_536
 ROWS_PER_SLICE = 1_000_000
 # Rows of a lookup table that may be broadcast; checked before each use.
 BROADCAST_ROWS = 200_000

@@ -13,7 +13,7 @@ from riskloom.functions.scalars import json_row, money, score
 from riskloom.operators import rules, validate
 from riskloom.operators.scd2 import scd2_from_log
 from riskloom.operators.velocity import velocity_in_batch
-from riskloom.session import prepare, written
+from riskloom.session import prepare
 
 SNAPSHOTS = ("2024-01-05", "2024-01-10", "2024-01-15", "2024-01-20")
 LOADED_AT = "2024-02-01 00:00:00"
@@ -51,38 +51,23 @@ def _text(prefix: str, number: Column) -> Column:
 
 def transactions(events: DataFrame) -> DataFrame:
     """A card transaction per event; also valid on a stream."""
-    n = F.col("event_id")
-    kind = F.col("event_type")
-    return events.select(
-        _text("TX-", n).alias("transaction_id"),
-        _text("ACC-", F.col("user_id")).alias("account_id"),
-        _text("CUST-", F.col("user_id")).alias("customer_id"),
-        _text("MERCH-", n % 2200).alias("merchant_id"),
-        F.when(kind == "purchase", "crypto")
-        .when(kind == "signup", "gambling")
-        .otherwise(kind)
-        .alias("merchant_category"),
-        F.when(n % 97 == 0, F.lit(None))
-        .when(n % 89 == 0, -F.col("value"))
-        .otherwise(F.round(F.col("value") * 50, 2))
-        .cast("double")
-        .alias("amount"),
-        F.when(n % 211 == 0, "XXX")
-        .when(n % 307 == 0, F.lit(None))
-        .when(n % 4 == 0, "BRL")
-        .when(n % 4 == 1, "USD")
-        .when(n % 4 == 2, "EUR")
-        .otherwise("GBP")
-        .alias("currency"),
-        F.when(n % 5 == 0, "CREDIT_CARD")
-        .when(n % 5 == 1, "DEBIT_CARD")
-        .when(n % 5 == 2, "PIX")
-        .when(n % 5 == 3, "PAYPAL")
-        .otherwise("CRYPTO")
-        .alias("payment_method"),
-        F.col("ts").cast("timestamp").alias("event_time"),
-        n.alias("kafka_offset"),
-        (F.col("ts").cast("timestamp") + F.expr("interval 5 seconds")).alias("processed_at"),
+    return events.selectExpr(
+        "'TX-' || event_id as transaction_id",
+        "'ACC-' || user_id as account_id",
+        "'CUST-' || user_id as customer_id",
+        "'MERCH-' || (event_id % 2200) as merchant_id",
+        "case event_type when 'purchase' then 'crypto' when 'signup' then 'gambling' "
+        "else event_type end as merchant_category",
+        "case when event_id % 97 = 0 then null when event_id % 89 = 0 then -value "
+        "else round(value * 50, 2) end as amount",
+        "case when event_id % 211 = 0 then 'XXX' when event_id % 307 = 0 then null "
+        "when event_id % 4 = 0 then 'BRL' when event_id % 4 = 1 then 'USD' "
+        "when event_id % 4 = 2 then 'EUR' else 'GBP' end as currency",
+        "case event_id % 5 when 0 then 'CREDIT_CARD' when 1 then 'DEBIT_CARD' when 2 then 'PIX' "
+        "when 3 then 'PAYPAL' else 'CRYPTO' end as payment_method",
+        "cast(ts as timestamp) as event_time",
+        "event_id as kafka_offset",
+        "cast(ts as timestamp) + interval 5 seconds as processed_at",
     )
 
 
@@ -304,8 +289,3 @@ def raw_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_brand").alias("country"),
         F.date_format(created, "yyyy-MM-dd HH:mm:ss").alias("created_at"),
     )
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """A dimension as a table, as the fact joins expect it."""
-    return written(df, name)

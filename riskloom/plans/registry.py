@@ -10,23 +10,26 @@ from pyspark.sql import functions as F
 from riskloom import schemas as S
 from riskloom.functions import scalars
 from riskloom.operators import alerts as alert_ops
-from riskloom.operators import checks, rules, serving, validate
+from riskloom.operators import checks, rules, serving, validate, velocity
 from riskloom.operators.bronze import envelope, parse_payload
 from riskloom.operators.dedup import first_row, first_row_by_min
 from riskloom.operators.dims import dim_date, dim_merchant
 from riskloom.operators.fact import build_fact, join_date, join_merchant, join_version
 from riskloom.operators.scd2 import backdate_first, first_versions, scd2_apply, scd2_from_log
-from riskloom.operators.velocity import velocity_trailing, velocity_tumbling
 from riskloom.plans import dataset as D
 from riskloom.plans import stream_jobs
 from riskloom.plans.comparable import comparable
 from riskloom.plans.gold import GoldRun, run_gold_batch
 from riskloom.session import prepare, scratch_path, written
+from riskloom.sinks.writers import save_partitioned
 from riskloom.sources.readers import seed, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Payload fields that the given tables have no values for.
+UNUSED = ("device_id", "ip_address", "region")
+
 
 def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,10 +69,7 @@ def parse_json_props(spark, sf_dir):
 
 @query
 def parse_payload_rows(spark, sf_dir):
-    return parse_payload(_bronze(spark, sf_dir)).drop("raw_payload", *_UNUSED)
-
-
-_UNUSED = ("device_id", "ip_address", "region")
+    return parse_payload(_bronze(spark, sf_dir)).drop("raw_payload", *UNUSED)
 
 
 @query
@@ -85,7 +85,7 @@ def validate_reasons(spark, sf_dir):
 
 @query
 def valid_rows(spark, sf_dir):
-    return validate.valid_rows(_validated(spark, sf_dir)).drop(*_UNUSED)
+    return validate.valid_rows(_validated(spark, sf_dir)).drop(*UNUSED)
 
 
 @query
@@ -110,7 +110,7 @@ def scan_silver(spark, sf_dir):
     path = scratch_path(spark, "silver")
     rows = D.silver(D.tx(spark, sf_dir))
     columns = [c for c in S.SILVER.fieldNames() if c in rows.columns]
-    rows.select(*columns).write.partitionBy("event_date").parquet(path)
+    save_partitioned(rows.select(*columns), path, partition_by=["event_date"])
     return table(spark, path).select(
         "transaction_id", "account_id", "amount", "risk_score", "event_date"
     )
@@ -164,9 +164,7 @@ def rule_flags(spark, sf_dir):
 
 @query
 def velocity_in_batch(spark, sf_dir):
-    from riskloom.operators.velocity import velocity_in_batch as run
-
-    rows = run(_scored(spark, sf_dir), ["event_date"])
+    rows = velocity.velocity_in_batch(_scored(spark, sf_dir), ["event_date"])
     return rows.select(
         "transaction_id", "velocity_hit", "risk_score", "is_fraud_suspect", "fraud_reason"
     )
@@ -174,12 +172,12 @@ def velocity_in_batch(spark, sf_dir):
 
 @query
 def velocity_tumbling_windows(spark, sf_dir):
-    return velocity_tumbling(D.valid(D.tx(spark, sf_dir)), "6 hours", threshold=2)
+    return velocity.velocity_tumbling(D.valid(D.tx(spark, sf_dir)), "6 hours", threshold=2)
 
 
 @query
 def velocity_trailing_counts(spark, sf_dir):
-    rows = velocity_trailing(D.valid(D.tx(spark, sf_dir)), seconds=6 * 3600)
+    rows = velocity.velocity_trailing(D.valid(D.tx(spark, sf_dir)), seconds=6 * 3600)
     return rows.select("transaction_id", "account_id", "event_time", "tx_count")
 
 
@@ -315,7 +313,7 @@ def scd2_backdate_account(spark, sf_dir):
 @query
 def fact_scd2_customer(spark, sf_dir):
     rows = D.tx(spark, sf_dir).select("transaction_id", "customer_id", "event_time")
-    dim = D.stored(D.customer_history(spark, sf_dir), "dim_customer")
+    dim = written(D.customer_history(spark, sf_dir), "dim_customer")
     return join_version(rows, dim, "customer_id", "customer_sk")
 
 
@@ -323,7 +321,7 @@ def fact_scd2_customer(spark, sf_dir):
 def fact_scd2_account(spark, sf_dir):
     """Without back-dating: events before the first snapshot find no version."""
     rows = D.tx(spark, sf_dir).select("transaction_id", "account_id", "event_time")
-    dim = D.stored(D.account_history(spark, sf_dir), "dim_account")
+    dim = written(D.account_history(spark, sf_dir), "dim_account")
     return join_version(rows, dim, "account_id", "account_sk", backdate=False)
 
 
@@ -341,9 +339,9 @@ def fact_date(spark, sf_dir):
 
 def _dims(spark, sf_dir):
     return (
-        D.stored(D.customer_history(spark, sf_dir), "dim_customer"),
-        D.stored(D.account_history(spark, sf_dir), "dim_account"),
-        D.stored(dim_merchant(D.raw_merchants(spark, sf_dir)), "dim_merchant"),
+        written(D.customer_history(spark, sf_dir), "dim_customer"),
+        written(D.account_history(spark, sf_dir), "dim_account"),
+        written(dim_merchant(D.raw_merchants(spark, sf_dir)), "dim_merchant"),
         dim_date(spark),
     )
 

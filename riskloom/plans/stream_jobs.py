@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskloom import schemas as S
 from riskloom.operators.dedup import dedup_stream, late_rows
@@ -168,7 +167,7 @@ def alert_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     folders = Folders(scratch_path(spark, "stream"))
     _ingest(_messages(spark, sf_dir), folders)
     _score(spark, folders)
-    message = T.StructType.fromDDL("key string, value string")
+    message = S.struct_of("key string, value string")
     alerts.consume(
         table_stream(spark, f"{folders.table('alerts')}/*", message),
         folders.table("operational_alerts"),

@@ -48,17 +48,33 @@ MONEY = T.DecimalType(12, 2)
 SCORE = T.DecimalType(5, 4)
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-PAYLOAD = _struct(
+_TYPES = {
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "binary": T.BinaryType(),
+    "money": MONEY,
+    "score": SCORE,
+}
+
+
+def struct_of(fields: str) -> T.StructType:
+    """A schema from ``"name type, ..."``; needs no session, unlike a DDL string."""
+    pairs = [field.split() for field in fields.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+PAYLOAD = struct_of(
     "transaction_id string, account_id string, customer_id string, merchant_id string, "
     "merchant_category string, amount double, currency string, payment_method string, "
     "device_id string, ip_address string, region string, event_time timestamp"
 )
 
-BRONZE = _struct(
+BRONZE = struct_of(
     "kafka_key string, raw_payload string, kafka_topic string, kafka_partition int, "
     "kafka_offset bigint, kafka_timestamp timestamp, ingestion_timestamp timestamp, "
     "ingestion_date string"
@@ -66,7 +82,7 @@ BRONZE = _struct(
 
 SILVER = T.StructType(
     PAYLOAD.fields
-    + _struct(
+    + struct_of(
         "kafka_offset bigint, bronze_ingestion_date string, risk_score double, "
         "is_fraud_suspect boolean, fraud_reason string, processed_at timestamp, "
         "event_date date"
@@ -74,34 +90,34 @@ SILVER = T.StructType(
 )
 
 DEAD_LETTERS = T.StructType(
-    _struct("raw_payload string").fields
+    struct_of("raw_payload string").fields
     + [f for f in SILVER.fields if f.name != "event_date"]
-    + _struct("is_valid boolean, dlq_reason string").fields
+    + struct_of("is_valid boolean, dlq_reason string").fields
 )
 
-ALERT_MESSAGE = _struct(
+ALERT_MESSAGE = struct_of(
     "transaction_id string, account_id string, customer_id string, amount double, "
     "risk_score double, risk_level string, fraud_reason string, event_time timestamp"
 )
 
-OPERATIONAL_ALERTS = _struct(
+OPERATIONAL_ALERTS = struct_of(
     "alert_id bigint, transaction_id string, account_id string, customer_id string, "
-    "amount decimal(12,2), risk_score decimal(5,4), risk_level string, "
+    "amount money, risk_score score, risk_level string, "
     "fraud_reason string, status string, operator_notes string, event_time timestamp, "
     "created_at timestamp, updated_at timestamp"
 )
 
-RAW_CUSTOMERS = _struct(
+RAW_CUSTOMERS = struct_of(
     "customer_id string, full_name string, email string, phone string, "
     "risk_profile string, city string, state string"
 )
 
-RAW_ACCOUNTS = _struct(
+RAW_ACCOUNTS = struct_of(
     "account_id string, customer_id string, account_type string, "
-    "credit_limit decimal(12,2), account_status string"
+    "credit_limit money, account_status string"
 )
 
-RAW_MERCHANTS = _struct(
+RAW_MERCHANTS = struct_of(
     "merchant_id string, merchant_name string, category string, country string, "
     "created_at string"
 )
@@ -110,13 +126,13 @@ CUSTOMER_TRACKED = ("risk_profile", "city", "state", "phone", "email")
 ACCOUNT_TRACKED = ("credit_limit", "account_status")
 
 DIM_CUSTOMER = T.StructType(
-    _struct("customer_sk string").fields
+    struct_of("customer_sk string").fields
     + RAW_CUSTOMERS.fields
-    + _struct("valid_from timestamp, valid_to timestamp").fields
+    + struct_of("valid_from timestamp, valid_to timestamp").fields
 )
 
 DIM_ACCOUNT = T.StructType(
-    _struct("account_sk string").fields
+    struct_of("account_sk string").fields
     + RAW_ACCOUNTS.fields
-    + _struct("valid_from timestamp, valid_to timestamp").fields
+    + struct_of("valid_from timestamp, valid_to timestamp").fields
 )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# A stream turns adaptive execution off to keep its state partitions; the static
+# batch a foreachBatch function gets has no state and wants it back.
+ADAPTIVE_CONF = {"spark.sql.adaptive.enabled": "true"}
+
 STATE_STORE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -30,6 +36,22 @@ def build_session(app_name: str, conf: dict[str, str] | None = None) -> SparkSes
     return prepare(builder.getOrCreate())
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Set runtime settings for a while, then put the earlier ones back."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session someone else built."""
     for name, value in RUNTIME_CONF.items():

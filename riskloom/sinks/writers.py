@@ -44,10 +44,22 @@ def write_batch(
     partition_by: Sequence[str] = (),
 ) -> None:
     """Write a micro-batch to a partition of its own; a repeat replaces it."""
-    writer = df.write.format(fmt).mode("overwrite")
+    save_partitioned(df, f"{path}/batch_id={batch_id}", fmt, partition_by)
+
+
+def save_partitioned(
+    df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
+) -> None:
+    """Replace a folder. Rows are first brought together by partition value.
+
+    Spark sizes these groups as it runs: small ones share a task, a large one is
+    split, so a day becomes few files without falling to one task.
+    """
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(f"{path}/batch_id={batch_id}")
+        writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
+    else:
+        writer = df.write
+    writer.format(fmt).mode("overwrite").save(path)
 
 
 def append_stream(

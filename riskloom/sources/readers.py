@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-TOPIC_MESSAGE = T.StructType.fromDDL(
+from riskloom.schemas import struct_of
+
+TOPIC_MESSAGE = struct_of(
     "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
 )
 

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskloom import schemas as S
 from riskloom.operators.alerts import extract_alerts, new_alerts
+from riskloom.session import ADAPTIVE_CONF, settings
 from riskloom.sinks.writers import empty_table, triggered, write_batch
 
 
@@ -36,14 +37,16 @@ def consume(
     empty_table(spark, path, S.OPERATIONAL_ALERTS, fmt)
 
     def insert(batch: DataFrame, batch_id: int) -> None:
-        incoming = extract_alerts(batch).persist()
-        try:
-            existing = stored_alerts(batch.sparkSession, path, fmt).filter(
-                F.col("batch_id") != batch_id
-            )
-            write_batch(new_alerts(existing, incoming, now, order), path, batch_id, fmt)
-        finally:
-            incoming.unpersist()
+        session = batch.sparkSession
+        with settings(session, ADAPTIVE_CONF):
+            incoming = extract_alerts(batch).persist()
+            try:
+                existing = stored_alerts(session, path, fmt).filter(
+                    F.col("batch_id") != batch_id
+                )
+                write_batch(new_alerts(existing, incoming, now, order), path, batch_id, fmt)
+            finally:
+                incoming.unpersist()
 
     writer = messages.writeStream.foreachBatch(insert).outputMode("append")
     return triggered(writer, available_now).option("checkpointLocation", checkpoint).start()

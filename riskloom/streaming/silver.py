@@ -21,7 +21,7 @@ from riskloom.operators.bronze import parse_payload
 from riskloom.operators.checks import CheckFailed
 from riskloom.operators.dedup import dedup_stream
 from riskloom.operators.velocity import velocity_in_batch
-from riskloom.session import STATE_STORE_CONF
+from riskloom.session import ADAPTIVE_CONF, STATE_STORE_CONF, settings
 from riskloom.sinks.writers import append_stream, triggered, write_batch
 
 log = logging.getLogger(__name__)
@@ -95,11 +95,12 @@ class Router:
     on_violation: str = "quarantine"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            self._route(batch, batch_id)
-        finally:
-            batch.unpersist()
+        with settings(batch.sparkSession, ADAPTIVE_CONF):
+            batch = batch.persist()
+            try:
+                self._route(batch, batch_id)
+            finally:
+                batch.unpersist()
 
     def _route(self, batch: DataFrame, batch_id: int) -> None:
         valid = F.col("is_valid")
@@ -143,18 +144,11 @@ def route(
     scored: DataFrame, router: Router, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
     """Start the scoring query. Its state is kept in RocksDB, outside the JVM heap."""
-    spark = scored.sparkSession
-    before = {name: spark.conf.get(name, None) for name in STATE_STORE_CONF}
-    for name, value in STATE_STORE_CONF.items():
-        spark.conf.set(name, value)
-    try:
+    with settings(scored.sparkSession, STATE_STORE_CONF):
         writer = scored.writeStream.foreachBatch(router).outputMode("append")
         return (
             triggered(writer, available_now).option("checkpointLocation", checkpoint).start()
         )
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def rows_dropped_late(query: StreamingQuery) -> int:
