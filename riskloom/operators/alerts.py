@@ -11,7 +11,7 @@ from riskloom import schemas as S
 from riskloom.functions.scalars import JSON_TIME, json_row, money, score
 from riskloom.operators.dedup import first_row
 
-ID_BUCKETS = 512
+ID_BUCKETS = 1024
 
 
 def suspects(silver: DataFrame) -> DataFrame:
@@ -55,23 +55,17 @@ def _usable() -> Column:
 
 
 def number_rows(rows: DataFrame, key: str, name: str, after: int = 0) -> DataFrame:
-    """Add gap-free ids from ``after + 1``, the same for the same rows.
+    """Add unique ids above ``after``, the same for the same rows.
 
-    Rows are numbered inside hash buckets and shifted by the sizes of the buckets
-    before, so there is no global sort; the bucket sizes are ``ID_BUCKETS`` rows.
+    Rows are numbered inside hash buckets, and bucket b of n takes every n-th id from
+    b on: one pass, no global sort, and gaps only where buckets differ in size.
     """
-    bucketed = rows.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(ID_BUCKETS)))
-    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select(
-        "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift")
-    )
+    bucket = F.pmod(F.xxhash64(key), F.lit(ID_BUCKETS))
     inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
     return (
-        bucketed.withColumn("_inside", inside)
-        .join(F.broadcast(shifts), "_bucket")
-        .withColumn(name, F.col("_shift") + F.col("_inside") + F.lit(after))
-        .drop("_bucket", "_inside", "_shift")
+        rows.withColumn("_bucket", bucket)
+        .withColumn(name, (inside - 1) * ID_BUCKETS + F.col("_bucket") + F.lit(after + 1))
+        .drop("_bucket")
     )
 
 

@@ -158,9 +158,9 @@ def silver(rows: DataFrame) -> DataFrame:
     return velocity_in_batch(scored(accepted(rows)), ["event_date"])
 
 
-def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def alerts(silver_rows: DataFrame) -> DataFrame:
     """An operational alert per suspect, with a status by payment method."""
-    rows = silver(tx(spark, sf_dir)).filter("is_fraud_suspect")
+    rows = silver_rows.filter("is_fraud_suspect")
     method = F.col("payment_method")
     return rows.select(
         (F.col("kafka_offset") + 1).alias("alert_id"),

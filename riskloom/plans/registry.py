@@ -341,7 +341,7 @@ def _dims(spark, sf_dir):
     return (
         written(D.customer_history(spark, sf_dir), "dim_customer"),
         written(D.account_history(spark, sf_dir), "dim_account"),
-        written(dim_merchant(D.raw_merchants(spark, sf_dir)), "dim_merchant"),
+        dim_merchant(D.raw_merchants(spark, sf_dir)),
         dim_date(spark),
     )
 
@@ -445,10 +445,12 @@ def check_relationships(spark, sf_dir):
 def checks_constraints(spark, sf_dir):
     """Keys, NOT NULLs and foreign keys of the fact and its versioned dimensions."""
     customers, accounts, merchants, dates = _dims(spark, sf_dir)
-    rows = D.replayed(D.silver(D.tx(spark, sf_dir)))
+    silver = written(D.silver(D.tx(spark, sf_dir)), "silver")
     fact = written(
-        build_fact(rows, customers, accounts, merchants, dates, D.loaded_at()), "fact"
+        build_fact(D.replayed(silver), customers, accounts, merchants, dates, D.loaded_at()),
+        "fact",
     )
+    alerts = written(D.alerts(silver), "alerts")
     declared = checks.fact_constraints(customers, accounts, merchants, dates)
     return (
         checks.run_checks(fact, "fact_transactions", declared)
@@ -463,9 +465,7 @@ def checks_constraints(spark, sf_dir):
             )
         )
         .unionByName(
-            checks.run_checks(
-                D.alerts(spark, sf_dir), "operational_alerts", checks.alert_constraints()
-            )
+            checks.run_checks(alerts, "operational_alerts", checks.alert_constraints())
         )
     )
 
@@ -473,6 +473,10 @@ def checks_constraints(spark, sf_dir):
 # --- Serving ----------------------------------------------------------------
 
 
+def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.alerts(D.silver(D.tx(spark, sf_dir)))
+
+
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = D.silver(D.tx(spark, sf_dir))
     return serving.fraud_metrics(
@@ -487,14 +491,14 @@ def fraud_metrics(spark, sf_dir):
 
 @query
 def alerts_queue(spark, sf_dir):
-    return serving.alerts_queue(D.alerts(spark, sf_dir))
+    return serving.alerts_queue(_alerts(spark, sf_dir))
 
 
 @query
 def alert_detail(spark, sf_dir):
     """The detail of every transaction that was paid in dollars."""
     wanted = D.tx(spark, sf_dir).filter(F.col("currency") == "USD")
-    return serving.alert_detail(D.alerts(spark, sf_dir), wanted)
+    return serving.alert_detail(_alerts(spark, sf_dir), wanted)
 
 
 @query
@@ -506,18 +510,14 @@ def risk_profile_history(spark, sf_dir):
 def alerts_upsert_ignore(spark, sf_dir):
     """Alerts of replayed transactions that dollar and euro alerts do not hold yet."""
     rows = D.silver(D.tx(spark, sf_dir))
-    stored = D.alerts(spark, sf_dir).join(
-        rows.filter(F.col("currency").isin("USD", "EUR")), "transaction_id", "left_semi"
-    )
-    offsets = D.replayed(rows).filter("is_fraud_suspect")
-    incoming = _messages_with_offset(offsets)
-    new = alert_ops.new_alerts(
-        stored, alert_ops.extract_alerts(incoming), D.loaded_at(), ["event_time", "sent_at"]
-    )
+    stored = written(D.alerts(rows.filter(F.col("currency").isin("USD", "EUR"))), "alerts")
+    sent = _messages_with_time(D.replayed(rows).filter("is_fraud_suspect"))
+    incoming = written(alert_ops.extract_alerts(sent), "incoming")
+    new = alert_ops.new_alerts(stored, incoming, D.loaded_at(), ["event_time", "sent_at"])
     return new.drop("alert_id")
 
 
-def _messages_with_offset(rows: DataFrame) -> DataFrame:
+def _messages_with_time(rows: DataFrame) -> DataFrame:
     columns = [c for c in S.SILVER.fieldNames() if c in rows.columns]
     return rows.withColumn("risk_score", F.col("risk_score").cast("double")).select(
         F.col("transaction_id").alias("key"),
@@ -529,7 +529,7 @@ def _messages_with_offset(rows: DataFrame) -> DataFrame:
 @query
 def alerts_triage_apply(spark, sf_dir):
     rows = D.tx(spark, sf_dir)
-    return serving.apply_triage(D.alerts(spark, sf_dir), D.triage_actions(rows))
+    return serving.apply_triage(_alerts(spark, sf_dir), D.triage_actions(rows))
 
 
 @query
@@ -539,7 +539,7 @@ def triage_rejects(spark, sf_dir):
 
 @query
 def alerts_display(spark, sf_dir):
-    return serving.display_rows(D.alerts(spark, sf_dir))
+    return serving.display_rows(_alerts(spark, sf_dir))
 
 
 # --- Sinks and streams ------------------------------------------------------

@@ -11,7 +11,7 @@ import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,7 +21,7 @@ from riskloom.operators.bronze import parse_payload
 from riskloom.operators.checks import CheckFailed
 from riskloom.operators.dedup import dedup_stream
 from riskloom.operators.velocity import velocity_in_batch
-from riskloom.session import ADAPTIVE_CONF, STATE_STORE_CONF, settings
+from riskloom.session import ADAPTIVE_CONF, STATE_STORE_CONF, scratch_path, settings
 from riskloom.sinks.writers import append_stream, triggered, write_batch
 
 log = logging.getLogger(__name__)
@@ -86,6 +86,11 @@ class Router:
     ``velocity_batch`` names columns that part a micro-batch for the velocity rule;
     without any, an account's rows in the micro-batch count together. Sinks write
     under the batch id, so a batch run again replaces its own output.
+
+    The micro-batch is first written to ``staging`` (by default in the shared folder,
+    two batches kept) and counted on the way. The velocity rule joins the batch to its
+    own counts; from files, neither that nor a lost executor runs the stateful plan
+    again.
     """
 
     silver: Sink
@@ -93,28 +98,35 @@ class Router:
     dead_letters: Sink
     velocity_batch: Sequence[str] = ()
     on_violation: str = "quarantine"
+    staging: str | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with settings(batch.sparkSession, ADAPTIVE_CONF):
-            batch = batch.persist()
-            try:
-                self._route(batch, batch_id)
-            finally:
-                batch.unpersist()
+            staged, counts = self._stage(batch, batch_id)
+            self._route(staged, counts, batch_id)
 
-    def _route(self, batch: DataFrame, batch_id: int) -> None:
+    def _stage(self, batch: DataFrame, batch_id: int) -> tuple[DataFrame, dict[str, int]]:
+        spark = batch.sparkSession
+        self.staging = self.staging or scratch_path(spark, "staging")
+        path = f"{self.staging}/slot={batch_id % 2}"
         valid = F.col("is_valid")
-        counts = batch.agg(
+        counts = Observation()
+        batch.observe(
+            counts,
             F.count_if(valid).alias("valid"),
             F.count_if(~valid).alias("broken"),
             F.count_if(valid & validate.bad_currency()).alias("bad_currency"),
-        ).first()
-        if counts.bad_currency:
+        ).write.mode("overwrite").parquet(path)
+        return spark.read.schema(batch.schema).parquet(path), counts.get
+
+    def _route(self, batch: DataFrame, counts: dict[str, int], batch_id: int) -> None:
+        bad_currency = counts["bad_currency"]
+        if bad_currency:
             if self.on_violation == "fail":
-                raise CheckFailed(f"batch {batch_id}: {counts.bad_currency} unknown currencies")
+                raise CheckFailed(f"batch {batch_id}: {bad_currency} unknown currencies")
             batch = validate.quarantine_currency(batch)
 
-        good = counts.valid - counts.bad_currency
+        good = counts["valid"] - bad_currency
         if good:
             silver = to_silver(batch, self.velocity_batch).persist()
             try:
@@ -122,7 +134,7 @@ class Router:
                 self.alerts(alerts.alert_messages(silver), batch_id)
             finally:
                 silver.unpersist()
-        broken = counts.broken + counts.bad_currency
+        broken = counts["broken"] + bad_currency
         if broken:
             self.dead_letters(dead_letters(batch), batch_id)
         log.info("batch %s: %s silver rows, %s quarantined", batch_id, good, broken)

@@ -48,20 +48,23 @@ def test_insert_if_absent(spark):
     first = alerts.new_alerts(none, incoming, F.lit(AT), ["offset"])
     assert first.schema.simpleString() == S.OPERATIONAL_ALERTS.simpleString()
     rows = first.collect()
-    assert sorted(r.alert_id for r in rows) == [1, 2]
+    assert len({r.alert_id for r in rows}) == 2 and min(r.alert_id for r in rows) >= 1
     assert {(r.status, r.operator_notes) for r in rows} == {("PENDING", None)}
     assert {r.amount for r in rows} == {Decimal("6000.13"), Decimal("1.00")}
     later = alerts.new_alerts(
         first, alerts.extract_alerts(_messages(spark, PAYLOADS[:3])), F.lit(AT), ["offset"]
     )
-    assert [(r.alert_id, r.transaction_id) for r in later.collect()] == [(3, "c")]
+    third = later.collect()
+    assert [r.transaction_id for r in third] == ["c"]
+    assert third[0].alert_id > max(r.alert_id for r in rows)
 
 
-def test_numbers_have_no_gaps_and_repeat(spark):
+def test_numbers_are_unique_and_repeat(spark):
     rows = spark.range(5000).select(F.concat(F.lit("t"), "id").alias("k"))
     numbered = alerts.number_rows(rows, "k", "n", after=100)
     got = [r.n for r in numbered.collect()]
-    assert sorted(got) == list(range(101, 5101))
+    assert len(set(got)) == 5000 and min(got) > 100
+    assert max(got) < 100 + 5000 + 20 * alerts.ID_BUCKETS
     again = alerts.number_rows(rows.repartition(7), "k", "n", after=100)
     assert rows_of(again) == rows_of(numbered)
 

@@ -157,7 +157,7 @@ def test_fact_with_triage(spark, sf_dir):
         dim_merchant(D.raw_merchants(spark, sf_dir)),
         dim_date(spark),
     )
-    blocked = fact.blocked_transactions(D.alerts(spark, sf_dir))
+    blocked = fact.blocked_transactions(D.alerts(rows))
     built = fact.build_fact(rows, *dims, blocked=blocked)
     assert built.filter("is_blocked_flag").count() == blocked.count() > 0
 
