@@ -78,8 +78,8 @@ def absent_alerts(
     small micro-batch, so Spark can send it to the stored table and not shuffle that.
     """
     fresh = first_row(incoming, ["transaction_id"], order)
-    stored = existing.select("transaction_id")
-    known = stored.join(incoming.select("transaction_id"), "transaction_id", "left_semi")
+    sent = incoming.select("transaction_id").distinct()
+    known = existing.select("transaction_id").join(sent, "transaction_id", "left_semi")
     return fresh.join(known, "transaction_id", "left_anti")
 
 
@@ -88,11 +88,14 @@ def new_alerts(
     incoming: DataFrame,
     now: Column | None = None,
     order: Sequence[str] = ("event_time",),
+    after: int | None = None,
 ) -> DataFrame:
-    """Full alert rows to add, with ids and column defaults."""
+    """Full alert rows to add, with ids above ``after`` (else the last id) and defaults."""
     now = F.current_timestamp() if now is None else now
-    last_id = existing.agg(F.coalesce(F.max("alert_id"), F.lit(0))).first()[0]
-    rows = number_rows(absent_alerts(existing, incoming, order), "transaction_id", "alert_id", last_id)
+    if after is None:
+        after = existing.agg(F.coalesce(F.max("alert_id"), F.lit(0))).first()[0]
+    fresh = absent_alerts(existing, incoming, order)
+    rows = number_rows(fresh, "transaction_id", "alert_id", after)
     return rows.select(
         "alert_id",
         "transaction_id",

@@ -22,7 +22,8 @@ def alert_detail(alerts: DataFrame, transaction_id: str | DataFrame) -> DataFram
     """The alert of one transaction, or of each in a table of ids; none if absent."""
     if isinstance(transaction_id, str):
         return alerts.filter(F.col("transaction_id") == transaction_id)
-    return alerts.join(transaction_id.select("transaction_id"), "transaction_id", "left_semi")
+    wanted = transaction_id.select("transaction_id").distinct()
+    return alerts.join(wanted, "transaction_id", "left_semi")
 
 
 def accepted_actions(actions: DataFrame) -> DataFrame:
@@ -64,10 +65,8 @@ def apply_triage(alerts: DataFrame, actions: DataFrame) -> DataFrame:
 
 def triaged_rows(alerts: DataFrame, actions: DataFrame) -> DataFrame:
     """Only the alerts that an accepted action changes, as they are afterwards."""
-    changed = alerts.join(
-        accepted_actions(actions).select("transaction_id"), "transaction_id", "left_semi"
-    )
-    return apply_triage(changed, actions)
+    acted = accepted_actions(actions).select("transaction_id").distinct()
+    return apply_triage(alerts.join(acted, "transaction_id", "left_semi"), actions)
 
 
 def risk_history(dim_customer: DataFrame, customer_id: str | None = None) -> DataFrame:

@@ -106,8 +106,8 @@ def lookup_join(
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than it needs."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows; for a table only footers are read."""
+    return df.count() <= max_rows
 
 
 def _renamed(lookup: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -398,12 +398,12 @@ ORACLE: dict[str, str] = {
     "velocity_in_batch": f"""with {TX},{_validated('tx')},{SCORED},{VELOCITY}
         select transaction_id, velocity_hit, risk_score, is_fraud_suspect, fraud_reason
         from silver""",
-    "velocity_tumbling_windows": f"""with {TX},{_validated('tx')}
+    "velocity_tumbling": f"""with {TX},{_validated('tx')}
         select account_id, time_bucket(interval 6 hour, event_time) as window_start,
           time_bucket(interval 6 hour, event_time) + interval 6 hour as window_end,
           count(transaction_id) as tx_count
         from validated where dlq_reason is null group by 1, 2, 3 having count(*) >= 2""",
-    "velocity_trailing_counts": f"""with {TX},{_validated('tx')}
+    "velocity_trailing": f"""with {TX},{_validated('tx')}
         select transaction_id, account_id, event_time,
           count(transaction_id) over (partition by account_id order by event_time
             range between interval 6 hour preceding and current row) as tx_count
@@ -423,17 +423,17 @@ ORACLE: dict[str, str] = {
           order by processed_at nulls last, kafka_offset) = 1""",
     "dedup_min_by": FIRST_LINE,
     "dedup_first_lineitem": FIRST_LINE,
-    "dim_date_usage": f"""with {TX},{DATES},
+    "dim_date": f"""with {TX},{DATES},
         used as (select cast(strftime(event_time, '%Y%m%d') as integer) as date_sk,
           count(*) as tx_count from tx group by 1)
         select d.* replace (cast(full_date as varchar) as full_date),
           coalesce(tx_count, 0) as tx_count
         from dates d left join used using (date_sk)""",
-    "dim_merchant_rows": f"with {MERCHANTS} select * from merchants",
+    "dim_merchant": f"with {MERCHANTS} select * from merchants",
     "scd2_apply_customer": FOLD_CUSTOMERS,
     "scd2_apply_account": f"with {ACCOUNTS} select * from accounts",
     "scd2_from_log_extracts": FOLD_CUSTOMERS,
-    "scd2_from_log_orders": f"""with order_log as (
+    "scd2_from_log": f"""with order_log as (
           select o_custkey, o_orderdate, arg_max(o_orderstatus, o_orderkey) as o_orderstatus,
             arg_max(o_orderpriority, o_orderkey) as o_orderpriority, max(o_orderkey) as o_orderkey
           from orders group by 1, 2),
@@ -573,10 +573,8 @@ ORACLE: dict[str, str] = {
     "stream_router_counts": f"""with {SILVER},{REPLAYED.format(source='validated')}
         select 'silver' as sink, count(*) as row_count from silver
         union all select 'alerts', count(*) from silver where is_fraud_suspect
-        union all select 'bad_currency', count(*) from validated
-          where dlq_reason = '{S.REASON_INVALID_CURRENCY}'
         union all select 'dead_letters', count(*) from replayed
-          where dlq_reason <> '{S.REASON_INVALID_CURRENCY}'""",
+          where dlq_reason is not null""",
     "stream_dedup": f"""with {TX}
         select transaction_id, account_id, amount, event_time from tx""",
     "stream_velocity": f"""with {TX},

@@ -10,12 +10,10 @@ from pyspark.sql import functions as F
 from riskloom import schemas as S
 from riskloom.functions import scalars
 from riskloom.operators import alerts as alert_ops
-from riskloom.operators import checks, rules, serving, validate, velocity
+from riskloom.operators import checks, dims, rules, scd2, serving, validate, velocity
 from riskloom.operators.bronze import envelope, parse_payload
 from riskloom.operators.dedup import first_row, first_row_by_min
-from riskloom.operators.dims import dim_date, dim_merchant
 from riskloom.operators.fact import build_fact, join_date, join_merchant, join_version
-from riskloom.operators.scd2 import backdate_first, first_versions, scd2_apply, scd2_from_log
 from riskloom.plans import dataset as D
 from riskloom.plans import stream_jobs
 from riskloom.plans.comparable import comparable
@@ -171,12 +169,12 @@ def velocity_in_batch(spark, sf_dir):
 
 
 @query
-def velocity_tumbling_windows(spark, sf_dir):
+def velocity_tumbling(spark, sf_dir):
     return velocity.velocity_tumbling(D.valid(D.tx(spark, sf_dir)), "6 hours", threshold=2)
 
 
 @query
-def velocity_trailing_counts(spark, sf_dir):
+def velocity_trailing(spark, sf_dir):
     rows = velocity.velocity_trailing(D.valid(D.tx(spark, sf_dir)), seconds=6 * 3600)
     return rows.select("transaction_id", "account_id", "event_time", "tx_count")
 
@@ -238,24 +236,24 @@ def dedup_first_lineitem(spark, sf_dir):
 
 
 @query
-def dim_date_usage(spark, sf_dir):
+def dim_date(spark, sf_dir):
     """The date dimension with the transactions of each day."""
     per_day = D.tx(spark, sf_dir).groupBy(scalars.date_key("event_time").alias("date_sk"))
     counts = per_day.agg(F.count(F.lit(1)).alias("tx_count"))
-    days = dim_date(spark).join(counts, "date_sk", "left")
+    days = dims.dim_date(spark).join(counts, "date_sk", "left")
     return days.fillna(0, ["tx_count"])
 
 
 @query
-def dim_merchant_rows(spark, sf_dir):
-    return dim_merchant(D.raw_merchants(spark, sf_dir))
+def dim_merchant(spark, sf_dir):
+    return dims.dim_merchant(D.raw_merchants(spark, sf_dir))
 
 
 def _folded(log, key, tracked, sk) -> DataFrame:
     """One snapshot run after another, each on the table the last one wrote."""
-    history = first_versions(D.extract(log, 0), key, sk, D.SNAPSHOTS[0])
+    history = scd2.first_versions(D.extract(log, 0), key, sk, D.SNAPSHOTS[0])
     for number in range(1, len(D.SNAPSHOTS)):
-        history = scd2_apply(
+        history = scd2.scd2_apply(
             written(history, "history"), D.extract(log, number), key, tracked, sk,
             D.SNAPSHOTS[number],
         )
@@ -280,7 +278,7 @@ def scd2_from_log_extracts(spark, sf_dir):
 
 
 @query
-def scd2_from_log_orders(spark, sf_dir):
+def scd2_from_log(spark, sf_dir):
     """Status and priority of each customer's latest order, as a history."""
     orders = D.source(spark, sf_dir, "orders").withColumn(
         "o_orderdate", F.col("o_orderdate").cast("timestamp")
@@ -289,7 +287,7 @@ def scd2_from_log_orders(spark, sf_dir):
     log = orders.groupBy("o_custkey", "o_orderdate").agg(latest.alias("r")).select(
         "o_custkey", "o_orderdate", "r.*"
     )
-    return scd2_from_log(
+    return scd2.scd2_from_log(
         log, "o_custkey", ["o_orderstatus", "o_orderpriority"], "o_orderdate", "version_sk",
         bucket="month",
     )
@@ -297,13 +295,13 @@ def scd2_from_log_orders(spark, sf_dir):
 
 @query
 def scd2_backdate_customer(spark, sf_dir):
-    rows = backdate_first(D.customer_history(spark, sf_dir), "customer_id")
+    rows = scd2.backdate_first(D.customer_history(spark, sf_dir), "customer_id")
     return rows.select("customer_sk", "customer_id", "valid_from", "valid_to")
 
 
 @query
 def scd2_backdate_account(spark, sf_dir):
-    rows = backdate_first(D.account_history(spark, sf_dir), "account_id")
+    rows = scd2.backdate_first(D.account_history(spark, sf_dir), "account_id")
     return rows.select("account_sk", "account_id", "valid_from", "valid_to")
 
 
@@ -328,21 +326,21 @@ def fact_scd2_account(spark, sf_dir):
 @query
 def fact_merchant(spark, sf_dir):
     rows = D.tx(spark, sf_dir).select("transaction_id", "merchant_id")
-    return join_merchant(rows, dim_merchant(D.raw_merchants(spark, sf_dir)))
+    return join_merchant(rows, dims.dim_merchant(D.raw_merchants(spark, sf_dir)))
 
 
 @query
 def fact_date(spark, sf_dir):
     rows = D.tx(spark, sf_dir).select("transaction_id", "event_time")
-    return join_date(rows, dim_date(spark))
+    return join_date(rows, dims.dim_date(spark))
 
 
-def _dims(spark, sf_dir):
+def _dimensions(spark, sf_dir):
     return (
         written(D.customer_history(spark, sf_dir), "dim_customer"),
         written(D.account_history(spark, sf_dir), "dim_account"),
-        dim_merchant(D.raw_merchants(spark, sf_dir)),
-        dim_date(spark),
+        dims.dim_merchant(D.raw_merchants(spark, sf_dir)),
+        dims.dim_date(spark),
     )
 
 
@@ -350,7 +348,7 @@ def _dims(spark, sf_dir):
 def fact_transactions(spark, sf_dir):
     """The star schema's fact, from silver rows some of which came twice."""
     rows = D.replayed(D.silver(D.tx(spark, sf_dir)))
-    return build_fact(rows, *_dims(spark, sf_dir), loaded_at=D.loaded_at())
+    return build_fact(rows, *_dimensions(spark, sf_dir), loaded_at=D.loaded_at())
 
 
 def _write_seeds(spark, sf_dir, number) -> str:
@@ -426,7 +424,7 @@ def check_accepted_values(spark, sf_dir):
 
 @query
 def check_relationships(spark, sf_dir):
-    merchants = dim_merchant(D.raw_merchants(spark, sf_dir))
+    merchants = dims.dim_merchant(D.raw_merchants(spark, sf_dir))
     orders = D.source(spark, sf_dir, "orders")
     return checks.run_checks(
         D.tx(spark, sf_dir),
@@ -444,7 +442,7 @@ def check_relationships(spark, sf_dir):
 @query
 def checks_constraints(spark, sf_dir):
     """Keys, NOT NULLs and foreign keys of the fact and its versioned dimensions."""
-    customers, accounts, merchants, dates = _dims(spark, sf_dir)
+    customers, accounts, merchants, dates = _dimensions(spark, sf_dir)
     silver = written(D.silver(D.tx(spark, sf_dir)), "silver")
     fact = written(
         build_fact(D.replayed(silver), customers, accounts, merchants, dates, D.loaded_at()),

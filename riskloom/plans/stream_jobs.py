@@ -55,7 +55,7 @@ def _score(spark: SparkSession, folders: Folders) -> None:
     router = silver.Router(
         silver.table_sink(folders.table("silver"), partition_by=["event_date"]),
         silver.table_sink(folders.table("alerts")),
-        silver.table_sink(folders.table("bad_currency")),
+        silver.table_sink(folders.table("routed_letters")),
         velocity_batch=["event_date"],
     )
     scored = silver.scored_stream(table_stream(spark, path, S.BRONZE), processed_at=_processed_at())
@@ -91,7 +91,7 @@ def router_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ingest(_messages(spark, sf_dir), folders)
     _score(spark, folders)
     counts = None
-    for name in ("silver", "alerts", "bad_currency", "dead_letters"):
+    for name in ("silver", "alerts", "dead_letters"):
         rows = table(spark, folders.table(name)).agg(F.count(F.lit(1)).alias("row_count"))
         rows = rows.select(F.lit(name).alias("sink"), "row_count")
         counts = rows if counts is None else counts.unionByName(rows)

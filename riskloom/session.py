@@ -21,6 +21,7 @@ RUNTIME_CONF = {
 # batch a foreachBatch function gets has no state and wants it back.
 ADAPTIVE_CONF = {"spark.sql.adaptive.enabled": "true"}
 
+STATE_PARTITIONS_PER_CORE = 2
 STATE_STORE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -52,6 +53,18 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(name, value)
 
 
+def state_settings(spark: SparkSession) -> dict[str, str]:
+    """Settings to start a stateful stream with.
+
+    State is kept in RocksDB, outside the JVM heap. Each state partition is a store of
+    its own and stays for the life of the checkpoint, so there are no more of them
+    than a few per core.
+    """
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    useful = STATE_PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
+    return {**STATE_STORE_CONF, "spark.sql.shuffle.partitions": str(min(wanted, useful))}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session someone else built."""
     for name, value in RUNTIME_CONF.items():

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+
+from riskloom.session import settings, state_settings
 
 TRIGGER = "10 seconds"
 
@@ -70,16 +72,32 @@ def append_stream(
     partition_by: Sequence[str] = (),
     available_now: bool = False,
 ) -> StreamingQuery:
-    writer = df.writeStream.format(fmt).outputMode("append")
+    writer = df.writeStream.format(fmt).outputMode("append").option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return triggered(writer, available_now).option("checkpointLocation", checkpoint).start(path)
+    return start(writer, df.sparkSession, checkpoint, available_now)
 
 
-def triggered(writer, available_now: bool):
+def each_batch(
+    df: DataFrame,
+    function: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    available_now: bool = False,
+) -> StreamingQuery:
+    writer = df.writeStream.foreachBatch(function).outputMode("append")
+    return start(writer, df.sparkSession, checkpoint, available_now)
+
+
+def start(
+    writer: DataStreamWriter, spark: SparkSession, checkpoint: str, available_now: bool
+) -> StreamingQuery:
+    """Start every ten seconds, or once through all that is there."""
     if available_now:
-        return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=TRIGGER)
+        writer = writer.trigger(availableNow=True)
+    else:
+        writer = writer.trigger(processingTime=TRIGGER)
+    with settings(spark, state_settings(spark)):
+        return writer.option("checkpointLocation", checkpoint).start()
 
 
 def jdbc_append(df: DataFrame, url: str, table: str, **options: str) -> None:

@@ -12,7 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 from riskloom import schemas as S
 from riskloom.operators.alerts import extract_alerts, new_alerts
 from riskloom.session import ADAPTIVE_CONF, settings
-from riskloom.sinks.writers import empty_table, triggered, write_batch
+from riskloom.sinks.writers import each_batch, empty_table, write_batch
+
+# Each micro-batch has ids of its own, so none has to look up the last one.
+IDS_PER_BATCH = 2**36
 
 
 def stored_alerts(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -44,9 +47,9 @@ def consume(
                 existing = stored_alerts(session, path, fmt).filter(
                     F.col("batch_id") != batch_id
                 )
-                write_batch(new_alerts(existing, incoming, now, order), path, batch_id, fmt)
+                rows = new_alerts(existing, incoming, now, order, batch_id * IDS_PER_BATCH)
+                write_batch(rows, path, batch_id, fmt)
             finally:
                 incoming.unpersist()
 
-    writer = messages.writeStream.foreachBatch(insert).outputMode("append")
-    return triggered(writer, available_now).option("checkpointLocation", checkpoint).start()
+    return each_batch(messages, insert, checkpoint, available_now)

@@ -21,8 +21,8 @@ from riskloom.operators.bronze import parse_payload
 from riskloom.operators.checks import CheckFailed
 from riskloom.operators.dedup import dedup_stream
 from riskloom.operators.velocity import velocity_in_batch
-from riskloom.session import ADAPTIVE_CONF, STATE_STORE_CONF, scratch_path, settings
-from riskloom.sinks.writers import append_stream, triggered, write_batch
+from riskloom.session import ADAPTIVE_CONF, scratch_path, settings
+from riskloom.sinks.writers import append_stream, each_batch, write_batch
 
 log = logging.getLogger(__name__)
 
@@ -36,11 +36,12 @@ def quarantine(
     fmt: str = "parquet",
     available_now: bool = False,
     processed_at: Column | None = None,
+    known_currency: bool = True,
     **options,
 ) -> StreamingQuery:
     """Append broken bronze rows, with their reason and rule score, by ingestion day."""
-    broken = validate.quarantined_rows(validate.validate(parse_payload(bronze), **options))
-    letters = dead_letters(with_score(broken, processed_at))
+    rows = _checked(bronze, known_currency, options)
+    letters = dead_letters(with_score(rows, processed_at))
     return append_stream(
         letters, path, checkpoint, fmt, ["bronze_ingestion_date"], available_now
     )
@@ -52,20 +53,32 @@ def scored_stream(
     watermark: str = S.WATERMARK,
     processed_at: Column | None = None,
     dedup_slices: int = 8,
+    known_currency: bool = True,
     **options,
 ) -> DataFrame:
     """Parsed, deduplicated and scored rows with their validity columns.
 
+    Only good rows enter the dedup step, without their raw text. Without
+    ``known_currency`` rows of other currencies go on to the router and its policy.
     ``quarantine_after_dedup`` keeps broken rows in the stream through the dedup step,
     where all rows with NULL keys fall into one.
     """
-    rows = validate.validate(parse_payload(bronze), **options)
-    if not quarantine_after_dedup:
-        rows = rows.filter("is_valid")
-    rows = dedup_stream(rows, watermark, slices=dedup_slices)
+    rows = _checked(bronze, known_currency and not quarantine_after_dedup, options)
+    if quarantine_after_dedup:
+        rows = dedup_stream(rows, watermark, slices=dedup_slices)
+    else:
+        good = rows.filter("is_valid").drop("raw_payload")
+        rows = dedup_stream(good, watermark, slices=dedup_slices).withColumn(
+            "raw_payload", F.lit(None).cast("string")
+        )
     return with_score(rows, processed_at)
 
 
+def _checked(bronze: DataFrame, known_currency: bool, options: dict) -> DataFrame:
+    rows = validate.validate(parse_payload(bronze), **options)
+    return validate.quarantine_currency(rows) if known_currency else rows
+
+
 def with_score(rows: DataFrame, processed_at: Column | None = None) -> DataFrame:
     at = F.current_timestamp() if processed_at is None else processed_at
     return rules.flag(rules.score(rows)).withColumn("processed_at", at)
@@ -155,12 +168,7 @@ def table_sink(path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 def route(
     scored: DataFrame, router: Router, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
-    """Start the scoring query. Its state is kept in RocksDB, outside the JVM heap."""
-    with settings(scored.sparkSession, STATE_STORE_CONF):
-        writer = scored.writeStream.foreachBatch(router).outputMode("append")
-        return (
-            triggered(writer, available_now).option("checkpointLocation", checkpoint).start()
-        )
+    return each_batch(scored, router, checkpoint, available_now)
 
 
 def rows_dropped_late(query: StreamingQuery) -> int:
