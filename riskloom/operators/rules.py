@@ -43,6 +43,10 @@ def default_rules(normalize_case: bool = False) -> list[Rule]:
     ]
 
 
+def velocity_rule(hit: Column | None = None, weight: Decimal = S.VELOCITY_WEIGHT) -> Rule:
+    return Rule("velocity", F.col("velocity_hit") if hit is None else hit, weight)
+
+
 def _capped(total: Column) -> Column:
     return as_score(F.least(total, F.lit(S.SCORE_CAP)))
 
@@ -75,7 +79,7 @@ def add_velocity(
 
     The earlier flag and reason stay where the raised score is below the threshold.
     """
-    velocity = Rule("velocity", hit, weight)
+    velocity = velocity_rule(hit, weight)
     raised = flagged.withColumns(
         {
             "risk_score": _capped(F.col("risk_score") + velocity.points()),

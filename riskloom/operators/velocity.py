@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom import schemas as S
 from riskloom.functions.scalars import micros
-from riskloom.operators.rules import add_velocity
+from riskloom.operators.rules import (
+    Rule,
+    add_velocity,
+    default_rules,
+    flag,
+    score,
+    velocity_rule,
+)
 from riskloom.operators.skew import ROWS_PER_SLICE, attach, heavy_keys
 
 ROW_ID = ("transaction_id", "event_time")
@@ -40,6 +47,22 @@ def velocity_in_batch(rows: DataFrame, batch: Sequence[str] = (), **options) ->
     return add_velocity(marked, F.col("velocity_hit"))
 
 
+def score_with_velocity(
+    rows: DataFrame,
+    batch: Sequence[str] = (),
+    rules: Sequence[Rule] | None = None,
+    **options,
+) -> DataFrame:
+    """Unscored rows scored by all rules at once, velocity among them.
+
+    The same score, flag and reason as scoring first and ``velocity_in_batch`` after,
+    but the rows cross the shuffle before they get the columns of the score.
+    """
+    rules = default_rules() if rules is None else rules
+    marked = mark_bursts(rows, batch, **options)
+    return flag(score(marked, [*rules, velocity_rule()]), S.REASON_CRITICAL)
+
+
 def velocity_tumbling(
     rows: DataFrame, width: str, threshold: int = S.VELOCITY_COUNT
 ) -> DataFrame:
@@ -68,8 +91,10 @@ def velocity_trailing(
 ) -> DataFrame:
     """Add ``tx_count``: rows of the account in the ``seconds`` up to each row.
 
-    Rows are first counted per account and instant, then summed inside time buckets.
-    The last ``seconds`` of a bucket are repeated in the next one, so every sum is
+    Rows are first counted per account and instant. Each instant then adds its count
+    when it comes and takes it away when it leaves the trailing span, so a running sum
+    gives every answer in one pass. The sums run inside time buckets; what is still in
+    the span at the end of a bucket is added at the start of the next, so they are
     whole while no task holds more than one bucket of one account.
     """
     span = seconds * 1_000_000
@@ -80,20 +105,35 @@ def velocity_trailing(
     counts = rows.groupBy(*keys).agg(F.count("transaction_id").alias("_n"))
     heavy = heavy_keys(counts, keys, "_n", rows_per_slice)
 
-    home = F.floor(F.col("_at") / F.lit(width))
-    buckets = F.when(F.col("_at") - home * width >= width - span, F.array(home, home + 1))
-    ticks = (
-        counts.filter(F.col("event_time").isNotNull())
-        .withColumn("_at", micros("event_time"))
-        .withColumn("_home", home)
-        .withColumn("_bucket", F.explode(F.coalesce(buckets, F.array(home))))
-    )
-    trailing = (
-        Window.partitionBy("account_id", "_bucket").orderBy("_at").rangeBetween(-span, 0)
+    ticks = counts.withColumn("_at", micros("event_time"))
+    ticks = ticks.withColumn("_home", F.floor(F.col("_at") / F.lit(width)))
+    home, at, n = F.col("_home"), F.col("_at"), F.col("_n")
+    leaves = at + span + 1
+    next_start = (home + 1) * width
+    comes = _step(home, at, n, F.col("event_time"))
+    within = F.array(comes, _step(home, leaves, -n))
+    across = F.array(comes, _step(home + 1, next_start, n), _step(home + 1, leaves, -n))
+    changes = F.when(leaves < next_start, within).when(leaves >= next_start, across)
+    steps = ticks.select("account_id", F.inline(changes))
+    so_far = (
+        Window.partitionBy("account_id", "_bucket")
+        .orderBy("_when")
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     sums = (
-        ticks.withColumn("tx_count", F.sum("_n").over(trailing))
-        .filter(F.col("_bucket") == F.col("_home"))
+        steps.withColumn("tx_count", F.sum("_change").over(so_far))
+        .filter(F.col("event_time").isNotNull())
         .select(*keys, "tx_count")
     )
     return attach(rows, sums, keys, ROW_ID, heavy=heavy, null_safe=True)
+
+
+def _step(bucket: Column, when: Column, change: Column, event_time: Column | None = None) -> Column:
+    """A change of the running count; only a tick itself carries its event time."""
+    tick = F.lit(None).cast("timestamp") if event_time is None else event_time
+    return F.struct(
+        bucket.alias("_bucket"),
+        when.alias("_when"),
+        change.alias("_change"),
+        tick.alias("event_time"),
+    )

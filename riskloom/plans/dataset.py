@@ -12,7 +12,7 @@ from riskloom import schemas as S
 from riskloom.functions.scalars import json_row, money, score
 from riskloom.operators import rules, validate
 from riskloom.operators.scd2 import scd2_from_log
-from riskloom.operators.velocity import velocity_in_batch
+from riskloom.operators.velocity import score_with_velocity
 from riskloom.session import prepare
 
 SNAPSHOTS = ("2024-01-05", "2024-01-10", "2024-01-15", "2024-01-20")
@@ -155,7 +155,7 @@ def accepted(rows: DataFrame) -> DataFrame:
 
 def silver(rows: DataFrame) -> DataFrame:
     """Scored silver rows; the velocity batch is the event day."""
-    return velocity_in_batch(scored(accepted(rows)), ["event_date"])
+    return score_with_velocity(accepted(rows), ["event_date"])
 
 
 def alerts(silver_rows: DataFrame) -> DataFrame:

@@ -58,8 +58,10 @@ def _score(spark: SparkSession, folders: Folders) -> None:
         silver.table_sink(folders.table("routed_letters")),
         velocity_batch=["event_date"],
     )
-    scored = silver.scored_stream(table_stream(spark, path, S.BRONZE), processed_at=_processed_at())
-    silver.route(scored, router, folders.checkpoint("silver"), available_now=True).awaitTermination()
+    rows = silver.deduplicated_stream(
+        table_stream(spark, path, S.BRONZE), processed_at=_processed_at()
+    )
+    silver.route(rows, router, folders.checkpoint("silver"), available_now=True).awaitTermination()
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:

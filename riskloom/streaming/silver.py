@@ -1,8 +1,8 @@
 """Bronze table to silver rows, alerts and quarantine.
 
 Two queries over bronze: a stateless one that quarantines broken rows, and a
-stateful one that deduplicates and scores the good ones. A broken row so never
-enters the dedup state and cannot hold up scoring.
+stateful one that deduplicates and scores the good ones. So a broken row never enters
+the dedup state and cannot hold up scoring.
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ from riskloom.operators import alerts, rules, validate
 from riskloom.operators.bronze import parse_payload
 from riskloom.operators.checks import CheckFailed
 from riskloom.operators.dedup import dedup_stream
-from riskloom.operators.velocity import velocity_in_batch
+from riskloom.operators.rules import Rule
+from riskloom.operators.velocity import score_with_velocity
 from riskloom.session import ADAPTIVE_CONF, scratch_path, settings
 from riskloom.sinks.writers import append_stream, each_batch, write_batch
 
@@ -37,17 +38,18 @@ def quarantine(
     available_now: bool = False,
     processed_at: Column | None = None,
     known_currency: bool = True,
+    scoring: Sequence[Rule] | None = None,
     **options,
 ) -> StreamingQuery:
     """Append broken bronze rows, with their reason and rule score, by ingestion day."""
     rows = _checked(bronze, known_currency, options)
-    letters = dead_letters(with_score(rows, processed_at))
+    letters = dead_letters(_stamped(rows, processed_at), scoring)
     return append_stream(
         letters, path, checkpoint, fmt, ["bronze_ingestion_date"], available_now
     )
 
 
-def scored_stream(
+def deduplicated_stream(
     bronze: DataFrame,
     quarantine_after_dedup: bool = False,
     watermark: str = S.WATERMARK,
@@ -56,7 +58,7 @@ def scored_stream(
     known_currency: bool = True,
     **options,
 ) -> DataFrame:
-    """Parsed, deduplicated and scored rows with their validity columns.
+    """Parsed and deduplicated rows with their validity columns, for a router to score.
 
     Only good rows enter the dedup step, without their raw text. Without
     ``known_currency`` rows of other currencies go on to the router and its policy.
@@ -71,7 +73,7 @@ def scored_stream(
         rows = dedup_stream(good, watermark, slices=dedup_slices).withColumn(
             "raw_payload", F.lit(None).cast("string")
         )
-    return with_score(rows, processed_at)
+    return _stamped(rows, processed_at)
 
 
 def _checked(bronze: DataFrame, known_currency: bool, options: dict) -> DataFrame:
@@ -79,14 +81,14 @@ def _checked(bronze: DataFrame, known_currency: bool, options: dict) -> DataFram
     return validate.quarantine_currency(rows) if known_currency else rows
 
 
-def with_score(rows: DataFrame, processed_at: Column | None = None) -> DataFrame:
+def _stamped(rows: DataFrame, processed_at: Column | None) -> DataFrame:
     at = F.current_timestamp() if processed_at is None else processed_at
-    return rules.flag(rules.score(rows)).withColumn("processed_at", at)
+    return rows.withColumn("processed_at", at)
 
 
-def dead_letters(scored: DataFrame) -> DataFrame:
+def dead_letters(checked: DataFrame, scoring: Sequence[Rule] | None = None) -> DataFrame:
     """Quarantined rows in the columns of the dead-letter table."""
-    rows = validate.quarantined_rows(scored)
+    rows = rules.flag(rules.score(validate.quarantined_rows(checked), scoring))
     return rows.withColumn("risk_score", F.col("risk_score").cast("double")).select(
         *S.DEAD_LETTERS.fieldNames()
     )
@@ -94,7 +96,7 @@ def dead_letters(scored: DataFrame) -> DataFrame:
 
 @dataclass
 class Router:
-    """Sends one micro-batch to the silver, alert and quarantine sinks.
+    """Scores one micro-batch and sends it to the silver, alert and quarantine sinks.
 
     ``velocity_batch`` names columns that part a micro-batch for the velocity rule;
     without any, an account's rows in the micro-batch count together. Sinks write
@@ -111,6 +113,7 @@ class Router:
     dead_letters: Sink
     velocity_batch: Sequence[str] = ()
     on_violation: str = "quarantine"
+    scoring: Sequence[Rule] | None = None
     staging: str | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -141,7 +144,7 @@ class Router:
 
         good = counts["valid"] - bad_currency
         if good:
-            silver = to_silver(batch, self.velocity_batch).persist()
+            silver = to_silver(batch, self.velocity_batch, self.scoring).persist()
             try:
                 self.silver(silver, batch_id)
                 self.alerts(alerts.alert_messages(silver), batch_id)
@@ -149,13 +152,17 @@ class Router:
                 silver.unpersist()
         broken = counts["broken"] + bad_currency
         if broken:
-            self.dead_letters(dead_letters(batch), batch_id)
+            self.dead_letters(dead_letters(batch, self.scoring), batch_id)
         log.info("batch %s: %s silver rows, %s quarantined", batch_id, good, broken)
 
 
-def to_silver(scored: DataFrame, velocity_batch: Sequence[str] = ()) -> DataFrame:
-    """Silver rows of a scored static batch, velocity rule included."""
-    rows = velocity_in_batch(validate.valid_rows(scored), velocity_batch)
+def to_silver(
+    checked: DataFrame,
+    velocity_batch: Sequence[str] = (),
+    scoring: Sequence[Rule] | None = None,
+) -> DataFrame:
+    """Scored silver rows of a checked static batch, velocity rule included."""
+    rows = score_with_velocity(validate.valid_rows(checked), velocity_batch, scoring)
     return rows.withColumn("risk_score", F.col("risk_score").cast("double")).select(
         *S.SILVER.fieldNames()
     )
@@ -166,9 +173,9 @@ def table_sink(path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 
 
 def route(
-    scored: DataFrame, router: Router, checkpoint: str, available_now: bool = False
+    rows: DataFrame, router: Router, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
-    return each_batch(scored, router, checkpoint, available_now)
+    return each_batch(rows, router, checkpoint, available_now)
 
 
 def rows_dropped_late(query: StreamingQuery) -> int:

@@ -115,3 +115,12 @@ def test_tumbling_windows(hot_rows):
     busy = velocity.velocity_tumbling(hot_rows.dropna(), "1 hour")
     assert busy.filter("account_id = 'hot'").count() == 4
     assert busy.filter("tx_count < 3").count() == 0
+
+
+def test_scoring_at_once_equals_scoring_in_two_steps(spark, sf_dir):
+    from riskloom.plans import dataset as D
+
+    valid = D.valid(D.tx(spark, sf_dir))
+    once = velocity.score_with_velocity(valid, ["event_date"])
+    steps = velocity.velocity_in_batch(D.scored(valid), ["event_date"])
+    assert rows_of(once.select(*steps.columns)) == rows_of(steps)

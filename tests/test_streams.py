@@ -1,10 +1,11 @@
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom import schemas as S
-from riskloom.operators import validate
+from riskloom.operators import rules, validate
 from riskloom.operators.bronze import parse_payload
 from riskloom.operators.checks import CheckFailed
 from riskloom.operators.dedup import dedup_stream, dedup_stream_by_id, late_rows
@@ -66,7 +67,7 @@ def test_lateness_with_quarantine_first(spark, tmp_path):
             stream, str(tmp_path / "dead"), str(tmp_path / "c1"), available_now=True
         ).awaitTermination()
         silver.route(
-            silver.scored_stream(stream), _collecting_router(seen), str(tmp_path / "c2"), True
+            silver.deduplicated_stream(stream), _collecting_router(seen), str(tmp_path / "c2"), True
         ).awaitTermination()
 
     _feed(spark, tmp_path, job)
@@ -84,9 +85,9 @@ def test_lateness_with_quarantine_after_dedup(spark, tmp_path):
     seen = {"silver": [], "alerts": [], "dead": []}
 
     def job(stream):
-        scored = silver.scored_stream(stream, quarantine_after_dedup=True)
+        rows = silver.deduplicated_stream(stream, quarantine_after_dedup=True)
         router = _collecting_router(seen)
-        silver.route(scored, router, str(tmp_path / "c"), True).awaitTermination()
+        silver.route(rows, router, str(tmp_path / "c"), True).awaitTermination()
 
     _feed(spark, tmp_path, job)
     assert sorted(r.transaction_id for r in seen["silver"]) == ["a", "a", "b", "n2", "z"]
@@ -160,7 +161,7 @@ def _batch(spark, currencies):
         "timestamp '2024-01-01 12:00:00' as event_time", "kafka_offset",
         "'2024-01-01' as bronze_ingestion_date",
     )
-    return silver.with_score(validate.validate(rows))
+    return validate.validate(rows).withColumn("processed_at", F.current_timestamp())
 
 
 def test_a_repeated_batch_replaces_its_output(spark, tmp_path):
@@ -188,6 +189,12 @@ def test_router_velocity(spark):
     assert {r.risk_score for r in apart.collect()} == {0.75}
 
 
+def test_router_uses_own_rules(spark):
+    always = [rules.Rule("always", F.lit(True), Decimal("0.9"))]
+    row = silver.to_silver(_batch(spark, ["USD"]), scoring=always).first()
+    assert row.risk_score == 0.95 and row.is_fraud_suspect
+
+
 def test_stream_and_batch_agree(spark, sf_dir):
     streamed = stream_jobs.silver_score(spark, sf_dir)
     batch = D.silver(D.tx(spark, sf_dir)).withColumn(
