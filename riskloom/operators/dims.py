@@ -11,10 +11,9 @@ from riskloom.schemas import CALENDAR
 
 def dim_date(spark: SparkSession, first: str = CALENDAR[0], last: str = CALENDAR[1]) -> DataFrame:
     """One row per calendar day."""
+    bounds = F.lit(first).cast("date"), F.lit(last).cast("date")
     days = spark.range(1).select(
-        F.explode(
-            F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"), F.expr("interval 1 day"))
-        ).alias("full_date")
+        F.explode(F.sequence(*bounds, F.expr("interval 1 day"))).alias("full_date")
     )
     day = F.col("full_date")
     return days.select(

@@ -88,12 +88,13 @@ def scd2_from_log(
 ) -> DataFrame:
     """The history of a change log in one pass; same rows as applying it step by step.
 
-    The log holds one row per key and time. ``bucket`` (``"day"``, ``"month"``, ...)
+    The log holds one row per key and time; rows without either have no place in a
+    history and are left out (``checks.not_null`` counts them). ``bucket`` (``"day"``, ``"month"``, ...)
     cuts a key's log into time buckets, so that a key with very many rows is spread
     over tasks; leave it out where rows per key are few, as for daily extracts.
     """
     names = [c for c in log.columns if c not in (key, at)]
-    rows = log.withColumn("_state", F.struct(*tracked))
+    rows = log.dropna(subset=[key, at]).withColumn("_state", F.struct(*tracked))
     if bucket is None:
         ordered = Window.partitionBy(key).orderBy(at)
         before = F.lag("_state").over(ordered)
@@ -116,7 +117,10 @@ def scd2_from_log(
 
 def _bucket_versions(rows: DataFrame, key: str, at: str, bucket: str) -> DataFrame:
     """Rows that start a version, with the first change after their bucket."""
-    rows = rows.withColumn("_bucket", F.date_trunc(bucket, F.col(at)))
+    # The filter keeps both uses of the rows alike, so that Spark can share them.
+    rows = rows.withColumn("_bucket", F.date_trunc(bucket, F.col(at))).filter(
+        F.col("_bucket").isNotNull()
+    )
     ordered = Window.partitionBy(key, "_bucket").orderBy(at)
     rows = rows.withColumn("_before", F.lag("_state").over(ordered))
     inner = F.col("_before").isNotNull() & ~F.col("_state").eqNullSafe(F.col("_before"))

@@ -14,6 +14,7 @@ from riskloom.operators import checks
 from riskloom.operators.dims import dim_date, dim_merchant
 from riskloom.operators.fact import build_fact
 from riskloom.operators.scd2 import first_versions, scd2_apply
+from riskloom.sinks.writers import save_table
 from riskloom.sources.readers import seed, table
 
 
@@ -22,16 +23,18 @@ class GoldRun:
     """One run: reads the seeds and the previous run's history, writes ``base/run``.
 
     Each run has folders of its own, so a failed run is simply started again, and
-    no table is replaced while something reads it.
+    no table is replaced while something reads it. With a ``database`` its tables
+    point to the latest run.
     """
 
     base: str
     run: str
-    snapshot_at: datetime
+    snapshot_at: datetime | str
     seeds: str
     previous: str | None = None
     fmt: str = "parquet"
     close_missing: bool = False
+    database: str | None = None
 
     def path(self, name: str, run: str | None = None) -> str:
         return f"{self.base}/{run or self.run}/{name}"
@@ -46,11 +49,11 @@ def run_gold_batch(
 ) -> DataFrame:
     """Run the batch; returns the check results with a row count per table."""
 
-    def save(name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        writer = df.write.format(job.fmt).mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(partition_by)
-        writer.save(job.path(name))
+    def save(name: str, df: DataFrame) -> DataFrame:
+        if job.database:
+            save_table(df, name, job.database, fmt=job.fmt, path=job.path(name))
+        else:
+            df.write.format(job.fmt).mode("overwrite").save(job.path(name))
         return table(spark, job.path(name), job.fmt, df.schema)
 
     customers = _snapshot(
@@ -61,8 +64,8 @@ def run_gold_batch(
         spark, job, "dim_account", S.RAW_ACCOUNTS, "account_id", "account_sk",
         S.ACCOUNT_TRACKED, save,
     )
-    raw_merchants = save("raw_merchants", seed(spark, f"{job.seeds}/raw_merchants", S.RAW_MERCHANTS))
-    merchants = save("dim_merchant", dim_merchant(raw_merchants))
+    seeded = seed(spark, f"{job.seeds}/raw_merchants", S.RAW_MERCHANTS)
+    merchants = save("dim_merchant", dim_merchant(save("raw_merchants", seeded)))
     dates = save("dim_date", dim_date(spark))
     fact = save(
         "fact_transactions", build_fact(silver, customers, accounts, merchants, dates, loaded_at)

@@ -149,7 +149,8 @@ def _history(log: str, name: str, key: str, tracked, at: str, sk: str) -> str:
 
 def _customers(snapshots: str) -> str:
     log = f"(select * exclude (k) from customer_log where k in ({snapshots}))"
-    return _history(log, "customers", "customer_id", S.CUSTOMER_TRACKED, "snapshot_at", "customer_sk")
+    tracked = S.CUSTOMER_TRACKED
+    return _history(log, "customers", "customer_id", tracked, "snapshot_at", "customer_sk")
 
 
 def _accounts(snapshots: str) -> str:

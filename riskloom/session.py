@@ -10,16 +10,18 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Hours, days and date keys are all read in UTC.
+# Hours, days and date keys are all read in UTC. Where every partition of a join's
+# small side is seen to be under the given size, a hash join saves sorting the large one.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 # A stream turns adaptive execution off to keep its state partitions; the static
 # batch a foreachBatch function gets has no state and wants it back.
-ADAPTIVE_CONF = {"spark.sql.adaptive.enabled": "true"}
+ADAPTIVE_CONF = {n: v for n, v in RUNTIME_CONF.items() if n.startswith("spark.sql.adaptive")}
 
 STATE_PARTITIONS_PER_CORE = 2
 STATE_STORE_CONF = {

@@ -32,7 +32,8 @@ PAYLOADS = [
 
 
 def test_extract_defaults(spark):
-    rows = {r.transaction_id: r for r in alerts.extract_alerts(_messages(spark, PAYLOADS)).collect()}
+    extracted = alerts.extract_alerts(_messages(spark, PAYLOADS)).collect()
+    rows = {r.transaction_id: r for r in extracted}
     assert set(rows) == {"a", "b", "c"}
     assert (rows["a"].risk_level, rows["a"].fraud_reason) == ("HIGH", "why")
     assert (rows["b"].risk_level, rows["b"].fraud_reason) == ("CRITICAL", S.REASON_DEFAULT_ALERT)

@@ -26,12 +26,16 @@ def _apply(history, extract, at, **options):
 
 def test_one_snapshot_step(spark):
     first = scd2.first_versions(
-        _extract(spark, [("a", "x", "LOW"), ("b", "y", None), ("c", "z", "LOW"), ("d", "w", "LOW")]),
+        _extract(
+            spark, [("a", "x", "LOW"), ("b", "y", None), ("c", "z", "LOW"), ("d", "w", "LOW")]
+        ),
         "id", "sk", START,
     )
     second = _apply(
         first,
-        _extract(spark, [("a", "x", "HIGH"), ("b", "y2", None), ("c", "z", None), ("e", "v", "LOW")]),
+        _extract(
+            spark, [("a", "x", "HIGH"), ("b", "y2", None), ("c", "z", None), ("e", "v", "LOW")]
+        ),
         START + DAY,
     )
     versions = {

@@ -17,7 +17,10 @@ def test_two_gold_runs(spark, sf_dir, tmp_path):
     first = GoldRun(str(tmp_path), "d1", D.SNAPSHOTS[0], _write_seeds(spark, sf_dir, 0))
     with pytest.raises(CheckFailed, match="fact_transactions"):
         run_gold_batch(spark, first, silver)
-    second = GoldRun(str(tmp_path), "d2", D.SNAPSHOTS[1], _write_seeds(spark, sf_dir, 1), "d1")
+    second = GoldRun(
+        str(tmp_path), "d2", D.SNAPSHOTS[1], _write_seeds(spark, sf_dir, 1), "d1",
+        database="gold_run",
+    )
     for _ in range(2):  # a run started again gives the same tables
         run_gold_batch(spark, second, silver, stop_on_failure=False)
     history = readers.table(spark, second.path("dim_customer"))
@@ -31,7 +34,7 @@ def test_two_gold_runs(spark, sf_dir, tmp_path):
     )
     assert rows_of(history.select(*expected.columns)) == rows_of(expected)
     fact = readers.table(spark, second.path("fact_transactions"))
-    assert fact.count() == silver.count()
+    assert fact.count() == spark.table("gold_run.fact_transactions").count() == silver.count()
 
 
 def test_seed_types(spark, tmp_path):

@@ -23,10 +23,11 @@ TRUTH = [
 
 @pytest.fixture(scope="module")
 def truth_rows(spark):
-    data = [
-        (i, 5000.01 if v else 5000.0, "jewelry" if c else "CRYPTO", f"2024-01-01 {5 if n else 6:02d}:00:00")
-        for i, ((v, n, c), *_) in enumerate(TRUTH)
-    ]
+    data = []
+    for i, ((value, night, category), *_) in enumerate(TRUTH):
+        amount = 5000.01 if value else 5000.0
+        time = "05:59:59" if night else "06:00:00"
+        data.append((i, amount, "jewelry" if category else "CRYPTO", f"2024-01-01 {time}"))
     rows = spark.createDataFrame(data, "i int, amount double, merchant_category string, t string")
     return rows.withColumn("event_time", F.col("t").cast("timestamp"))
 
