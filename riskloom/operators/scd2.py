@@ -89,9 +89,10 @@ def scd2_from_log(
     """The history of a change log in one pass; same rows as applying it step by step.
 
     The log holds one row per key and time; rows without either have no place in a
-    history and are left out (``checks.not_null`` counts them). ``bucket`` (``"day"``, ``"month"``, ...)
-    cuts a key's log into time buckets, so that a key with very many rows is spread
-    over tasks; leave it out where rows per key are few, as for daily extracts.
+    history and are left out (``checks.not_null`` counts them). ``bucket`` (``"day"``,
+    ``"month"``, ...) cuts a key's log into time buckets, so that a key with very many
+    rows is spread over tasks; leave it out where rows per key are few, as for daily
+    extracts.
     """
     names = [c for c in log.columns if c not in (key, at)]
     rows = log.dropna(subset=[key, at]).withColumn("_state", F.struct(*tracked))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from riskloom.session import settings, state_settings
@@ -45,8 +46,24 @@ def write_batch(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Write a micro-batch to a partition of its own; a repeat replaces it."""
-    save_partitioned(df, f"{path}/batch_id={batch_id}", fmt, partition_by)
+    """Write a micro-batch to a partition of its own; a repeat replaces it.
+
+    Delta tables are appended to instead, and skip a batch they already hold.
+    """
+    if fmt == "delta":
+        rows = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        writer = rows.write.format(fmt).mode("append").options(**delta_batch(path, batch_id))
+        writer.partitionBy("batch_id", *partition_by).save(path)
+    else:
+        save_partitioned(df, f"{path}/batch_id={batch_id}", fmt, partition_by)
+
+
+def delta_batch(path: str, batch_id: int) -> dict[str, str]:
+    """Options by which a Delta table knows a batch it has already taken.
+
+    Ids count from 0 in a stream; the empty first batch of a table has -1.
+    """
+    return {"txnAppId": f"riskloom:{path}", "txnVersion": str(batch_id + 1)}
 
 
 def save_partitioned(

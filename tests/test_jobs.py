@@ -67,6 +67,10 @@ def test_jdbc_options():
     assert options["numPartitions"] == "8" and options["partitionColumn"] == "kafka_offset"
 
 
+def test_delta_batches_are_known_by_path_and_id():
+    assert writers.delta_batch("/t", 7) == {"txnAppId": "riskloom:/t", "txnVersion": "8"}
+
+
 def test_shared_folder_and_settings(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     kept = written(spark.range(4), "ids")
