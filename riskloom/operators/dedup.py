@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,24 +36,38 @@ def first_row_by_min(rows: DataFrame, keys: Sequence[str], order: Sequence[str])
     )
 
 
+def thin_copies(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keep one row per key in each Arrow batch, ahead of a shuffle by key.
+
+    A stream can not aggregate before its dedup step without a second state store.
+    This needs no state, and a message sent a great many times shrinks to one row per
+    batch, so it does not fall whole to the one task that owns its key.
+    """
+    keys = list(keys)
+
+    def first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbered = pa.Table.from_batches([batch]).select(keys)
+            numbered = numbered.append_column("_row", pa.array(range(batch.num_rows)))
+            firsts = numbered.group_by(keys, use_threads=False).aggregate([("_row", "min")])
+            yield batch.take(firsts["_row_min"].combine_chunks())
+
+    return rows.mapInArrow(first_of_each, rows.schema)
+
+
 def dedup_stream(
     rows: DataFrame,
     delay: str = WATERMARK,
     keys: Sequence[str] = ("transaction_id", "event_time"),
-    slices: int = 8,
-    slice_on: str = "kafka_offset",
+    thin: bool = True,
 ) -> DataFrame:
     """Drop repeats of ``keys`` within the watermark; later rows are dropped too.
 
-    Copies of one row are first thinned out in ``slices`` tasks, so a message sent
-    a great many times does not fall to one task. ``slices=0`` skips that step.
+    ``thin=False`` skips ``thin_copies``, for sources known to repeat little.
     """
-    keys = list(keys)
-    timed = rows.withWatermark("event_time", delay)
-    if slices:
-        part = F.pmod(F.xxhash64(slice_on), F.lit(slices))
-        timed = timed.withColumn("_part", part).dropDuplicates([*keys, "_part"]).drop("_part")
-    return timed.dropDuplicates(keys)
+    if thin:
+        rows = thin_copies(rows, keys)
+    return rows.withWatermark("event_time", delay).dropDuplicates(list(keys))
 
 
 def dedup_stream_by_id(rows: DataFrame, delay: str = WATERMARK) -> DataFrame:

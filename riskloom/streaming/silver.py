@@ -54,7 +54,7 @@ def deduplicated_stream(
     quarantine_after_dedup: bool = False,
     watermark: str = S.WATERMARK,
     processed_at: Column | None = None,
-    dedup_slices: int = 8,
+    thin: bool = True,
     known_currency: bool = True,
     **options,
 ) -> DataFrame:
@@ -67,10 +67,10 @@ def deduplicated_stream(
     """
     rows = _checked(bronze, known_currency and not quarantine_after_dedup, options)
     if quarantine_after_dedup:
-        rows = dedup_stream(rows, watermark, slices=dedup_slices)
+        rows = dedup_stream(rows, watermark, thin=thin)
     else:
         good = rows.filter("is_valid").drop("raw_payload")
-        rows = dedup_stream(good, watermark, slices=dedup_slices).withColumn(
+        rows = dedup_stream(good, watermark, thin=thin).withColumn(
             "raw_payload", F.lit(None).cast("string")
         )
     return _stamped(rows, processed_at)

@@ -186,6 +186,18 @@ def test_first_row_ways_agree_with_nulls_last(spark):
     assert a.filter("k = 'hot'").first().at == 5
 
 
+def test_thinning_keeps_every_key(spark):
+    rows = spark.range(30_000).selectExpr(
+        "if(id % 3 = 0, 'hot', cast(id % 9000 as string)) as k",
+        "if(id % 3 = 0, null, timestamp_seconds(id % 9000)) as t",
+        "id",
+    ).coalesce(2)
+    thinned = dedup.thin_copies(rows, ["k", "t"])
+    assert thinned.filter("k = 'hot'").count() <= 10
+    assert rows_of(thinned.select("k", "t").distinct()) == rows_of(rows.select("k", "t").distinct())
+    assert thinned.join(rows, "id", "left_anti").isEmpty()
+
+
 def test_calendar(spark):
     days = dim_date(spark)
     assert days.count() == 4018

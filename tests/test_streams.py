@@ -101,7 +101,7 @@ def test_dropped_rows_are_counted_and_found(spark, tmp_path):
         rows = parse_payload(stream).select("transaction_id", "event_time", "kafka_offset")
         rows = rows.filter("transaction_id is not null")
         query = append_stream(
-            dedup_stream(rows, slices=0), str(tmp_path / "kept"), str(tmp_path / "c"),
+            dedup_stream(rows, thin=False), str(tmp_path / "kept"), str(tmp_path / "c"),
             available_now=True,
         )
         query.awaitTermination()
