@@ -142,18 +142,22 @@ class Router:
                 raise CheckFailed(f"batch {batch_id}: {bad_currency} unknown currencies")
             batch = validate.quarantine_currency(batch)
 
-        good = counts["valid"] - bad_currency
+        good, suspects = counts["valid"] - bad_currency, 0
         if good:
             silver = to_silver(batch, self.velocity_batch, self.scoring).persist()
             try:
                 self.silver(silver, batch_id)
-                self.alerts(alerts.alert_messages(silver), batch_id)
+                suspects = alerts.suspects(silver).count()
+                if suspects:
+                    self.alerts(alerts.alert_messages(silver), batch_id)
             finally:
                 silver.unpersist()
         broken = counts["broken"] + bad_currency
         if broken:
             self.dead_letters(dead_letters(batch, self.scoring), batch_id)
-        log.info("batch %s: %s silver rows, %s quarantined", batch_id, good, broken)
+        log.info(
+            "batch %s: %s silver rows, %s alerts, %s quarantined", batch_id, good, suspects, broken
+        )
 
 
 def to_silver(

@@ -174,6 +174,15 @@ def test_a_repeated_batch_replaces_its_output(spark, tmp_path):
     assert table(spark, paths[2]).first().dlq_reason == S.REASON_INVALID_CURRENCY
 
 
+def test_no_alerts_are_sent_without_suspects(spark):
+    seen = {"silver": [], "alerts": [], "dead": []}
+    calm = _batch(spark, ["USD"]).withColumn("amount", F.lit(10.0))
+    _collecting_router(seen)(calm, 0)
+    assert len(seen["silver"]) == 1 and not seen["alerts"] and not seen["dead"]
+    _collecting_router(seen)(_batch(spark, ["USD"]), 1)
+    assert [r.key for r in seen["alerts"]] == ["t0"]
+
+
 def test_fail_policy_writes_nothing(spark, tmp_path):
     paths = [str(tmp_path / n) for n in ("silver", "alerts", "dead")]
     router = silver.Router(*[silver.table_sink(p) for p in paths], on_violation="fail")
