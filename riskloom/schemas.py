@@ -38,7 +38,7 @@ WATERMARK = "10 minutes"
 FIRST_VERSION_FROM = datetime(1900, 1, 1)
 CALENDAR = ("2020-01-01", "2030-12-31")
 
-# Reasons the reference has no text for.
+# Reasons of the currency check and of the optional checks.
 REASON_INVALID_CURRENCY = "Invalid currency"
 REASON_MISSING_CURRENCY = "Missing currency"
 REASON_MISSING_TIME = "Missing event_time"
