@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from riskloom.plans.oracle import ORACLE
+from riskloom.plans.registry import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -33,7 +35,7 @@ def _sorted(rows, columns):
     return sorted((tuple(_value(r[i]) for i in order) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", list(entry_point.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, sf_dir, duck, name):
     result = entry_point.queries()[name](spark, sf_dir)
     expected = duck.execute(entry_point.oracle_sql()[name])
@@ -44,7 +46,9 @@ def test_query(spark, sf_dir, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 def test_entry(spark, sf_dir):
