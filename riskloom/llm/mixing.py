@@ -15,6 +15,7 @@ one bucket that the cut falls in; choosing rows is then a filter.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from decimal import Decimal
 from math import ceil, log
 
 from pyspark.sql import Column, DataFrame, Window
@@ -114,18 +115,13 @@ def budgets(leaves: DataFrame, target: Target) -> DataFrame:
     )
     for level in LEVELS:
         leaves = leaves.where(_weight(level, target) > 0)
-    everything = leaves.agg(
-        F.sum("capacity").cast(_WIDE).alias("all"),
-        F.expr(
-            f"cast((sum(capacity) * {target.budget_percent}) div {100 * target.max_epochs}"
-            " as decimal(38,0))"
-        ).alias("wanted"),
-    ).select(F.least("all", "wanted").alias("given"))
-    given, parents = everything, []
+    total = leaves.agg(F.sum("capacity")).first()[0] or Decimal(0)
+    wanted = int(total) * target.budget_percent // (100 * target.max_epochs)
+    given, parents = F.lit(Decimal(min(int(total), wanted))).cast(_WIDE), []
     for depth, level in enumerate(LEVELS):
         nodes = leaves.groupBy(*LEVELS[: depth + 1]).agg(F.sum("capacity").cast(_WIDE).alias("capacity"))
-        # the total is one row; below, a node's budget is its children's given
-        nodes = nodes.join(given, parents) if parents else nodes.join(F.broadcast(given), F.lit(True))
+        # the total is one number; below, a node's budget is what its children are given
+        nodes = nodes.join(given, parents) if parents else nodes.withColumn("given", given)
         shared = _shared(nodes, parents, level, target)
         parents = list(LEVELS[: depth + 1])
         given = shared.select(*parents, F.col("budget").alias("given"))

@@ -5,11 +5,20 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, mixing, near_dedup, quality_rules, toxicity
+from riskloom.llm import (
+    bpe,
+    mixing,
+    near_dedup,
+    quality_rules,
+    sharding,
+    token_counts,
+    toxicity,
+)
 from riskloom.llm.common import table
 from riskloom.llm.oracle import ORACLE as ORACLE
 
 MULTI_BPE = "byte_bpe_multi_50k.tiktoken"
+WORD_BPE = "word_bpe_49k.json"
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +30,10 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.digests(docs, public_tokenizers.path(MULTI_BPE), public_tokenizers.PATTERN)
@@ -35,13 +48,20 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.counts(docs, public_tokenizers.path(WORD_BPE))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity,
         op2_near_dedup,
+        op4_sharding,
         op6_byte_bpe,
         op7_quality_rules,
         op8_mixing,
+        op9_token_counts,
     )
 }
