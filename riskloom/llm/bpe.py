@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
 A pre-token is a linked list of byte pieces. Each neighbouring pair whose joint bytes
-are in the vocabulary waits in the bucket of its merge rank; a three-level bitmap over
+are in the vocabulary waits in the bucket of its merge rank; a hierarchical bitmap over
 the ranks finds the lowest non-empty bucket by find-first-set. Entries whose pair has
 changed meanwhile are skipped. So a pre-token of n bytes takes O(n) queue steps, however
 long it is.
@@ -21,8 +21,11 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import text_of
 
 ENCODED = "ids binary, n_tokens long"
+# Bits of a bitmap word, as a power of two.
+SHIFT = 8
+MASK = (1 << SHIFT) - 1
 # Encoded pre-tokens a worker remembers, and their longest length; only speed depends on it.
-CACHED, CACHED_CHARS = 200_000, 64
+CACHED, CACHED_CHARS = 250_000, 64
 
 
 @lru_cache(maxsize=4)
@@ -33,90 +36,80 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Positions by merge rank; ``first`` gives the lowest rank that has any."""
+    """Positions by merge rank under a two-level bitmap of the ranks that have any.
+
+    ``low`` has a word of ``1 << SHIFT`` bits for each run of ranks, ``top`` a bit for each
+    word that isn't zero; the lowest set bit of either is found by ``x & -x``.
+    """
 
     def __init__(self, ranks: int):
-        low = (ranks >> 6) + 1
+        self.low = [0] * ((ranks >> SHIFT) + 1)
         self.buckets: dict[int, list[int]] = {}
-        self.low = [0] * low
-        self.middle = [0] * ((low >> 6) + 1)
-        self.top = 0
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            bucket.append(position)
-            return
-        self.buckets[rank] = [position]
-        a, b = rank >> 6, rank >> 12
-        self.low[a] |= 1 << (rank & 63)
-        self.middle[b] |= 1 << (a & 63)
-        self.top |= 1 << b
-
-    def first(self) -> int:
-        """Lowest rank present, or -1."""
-        if not self.top:
-            return -1
-        b = (self.top & -self.top).bit_length() - 1
-        word = self.middle[b]
-        a = (b << 6) + (word & -word).bit_length() - 1
-        word = self.low[a]
-        return (a << 6) + (word & -word).bit_length() - 1
-
-    def take(self, rank: int) -> list[int]:
-        """Remove and return the positions of ``rank``, leftmost first."""
-        a, b = rank >> 6, rank >> 12
-        self.low[a] &= ~(1 << (rank & 63))
-        if not self.low[a]:
-            self.middle[b] &= ~(1 << (a & 63))
-            if not self.middle[b]:
-                self.top &= ~(1 << b)
-        positions = self.buckets.pop(rank)
-        positions.sort()
-        return positions
 
 
 def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
     """Ids of one pre-token. ``queue`` is empty before and after."""
     n = len(piece)
-    after = list(range(1, n + 1))
-    before = list(range(-1, n - 1))
-    waiting = [-1] * n
-    get = ranks.get
+    get, low, buckets, top = ranks.get, queue.low, queue.buckets, 0
+    after, before, waiting = list(range(1, n + 2)), list(range(-1, n)), [-1] * n
     for i in range(n - 1):
-        rank = get(piece[i : i + 2])
-        if rank is not None:
+        rank = get(piece[i : i + 2], -1)
+        if rank >= 0:
             waiting[i] = rank
-            queue.push(rank, i)
-    while (rank := queue.first()) >= 0:
-        positions = queue.take(rank)
+            if rank in buckets:
+                buckets[rank].append(i)
+            else:
+                buckets[rank] = [i]
+                low[rank >> SHIFT] |= 1 << (rank & MASK)
+                top |= 1 << (rank >> SHIFT)
+    while top:
+        word = (top & -top).bit_length() - 1
+        bits = low[word]
+        bit = bits & -bits
+        rank = (word << SHIFT) + bit.bit_length() - 1
+        low[word] = bits = bits ^ bit
+        if not bits:
+            top &= top - 1
+        positions = buckets.pop(rank)
+        if len(positions) > 1:
+            positions.sort()
         for at, i in enumerate(positions):
             if waiting[i] != rank:
                 continue
             gone = after[i]
-            end = after[gone]
-            after[i] = end
-            waiting[gone] = -1
-            lower = False
+            after[i] = end = after[gone]
+            waiting[gone] = waiting[i] = -1
+            pushed = rank
             if end < n:
                 before[end] = i
-                new = get(piece[i : after[end]])
-                waiting[i] = -1 if new is None else new
-                if new is not None:
-                    queue.push(new, i)
-                    lower = new < rank
-            else:
-                waiting[i] = -1
+                new = get(piece[i : after[end]], -1)
+                if new >= 0:
+                    waiting[i] = new
+                    if new in buckets:
+                        buckets[new].append(i)
+                    else:
+                        buckets[new] = [i]
+                        low[new >> SHIFT] |= 1 << (new & MASK)
+                        top |= 1 << (new >> SHIFT)
+                    if new < pushed:
+                        pushed = new
             left = before[i]
             if left >= 0:
-                new = get(piece[left:end])
-                waiting[left] = -1 if new is None else new
-                if new is not None:
-                    queue.push(new, left)
-                    lower = lower or new < rank
-            if lower:
-                for rest in positions[at + 1 :]:
-                    queue.push(rank, rest)
+                waiting[left] = new = get(piece[left:end], -1)
+                if new >= 0:
+                    if new in buckets:
+                        buckets[new].append(left)
+                    else:
+                        buckets[new] = [left]
+                        low[new >> SHIFT] |= 1 << (new & MASK)
+                        top |= 1 << (new >> SHIFT)
+                    if new < pushed:
+                        pushed = new
+            if pushed < rank and at + 1 < len(positions):
+                # a lower rank goes first; the rest of this bucket waits again
+                buckets[rank] = positions[at + 1 :]
+                low[rank >> SHIFT] |= 1 << (rank & MASK)
+                top |= 1 << (rank >> SHIFT)
                 break
     ids, i = [], 0
     while i < n:
@@ -126,20 +119,30 @@ def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
 
 
 class _Encoded(dict):
-    """Pre-token to its ids as little-endian 32-bit integers, filled when asked."""
+    """Pre-token to its ids as little-endian 32-bit integers, filled when asked.
+
+    Of two generations the older one goes when the younger one is full, so that frequent
+    pre-tokens stay.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
-        self.ranks = ranks
+        self.ranks, self.older = ranks, {}
+        self.packed = {i: i.to_bytes(4, "little") for i in ranks.values()}.__getitem__
         self.queue = RankQueue(max(ranks.values(), default=0) + 1)
 
     def __missing__(self, token: str) -> bytes:
-        piece = token.encode("utf-8")
-        whole = self.ranks.get(piece)
-        ids = [whole] if whole is not None else merge(piece, self.ranks, self.queue)
-        out = b"".join(i.to_bytes(4, "little") for i in ids)
+        out = self.older.get(token)
+        if out is None:
+            piece = token.encode("utf-8")
+            whole = self.ranks.get(piece)
+            if whole is not None:
+                out = self.packed(whole)
+            else:
+                out = b"".join(map(self.packed, merge(piece, self.ranks, self.queue)))
         if len(token) <= CACHED_CHARS:
             if len(self) >= CACHED:
+                self.older = dict(self)
                 self.clear()
             self[token] = out
         return out
