@@ -8,8 +8,10 @@ probability, and pairs under the bound are dropped. Survivors are verified exact
 their full shingle sets.
 
 Candidates never come as all pairs of a band's members. First each member is paired with
-the smallest member alone; what that links is contracted. Only members of bands that
-still hold different components are paired further, and only across components.
+the smallest member alone, and what that links is contracted. In ``TURNS`` further rounds
+each band that still holds different components draws one more leader, which is paired
+with members of other components and then leaves the band, and links are contracted
+again. Only what is apart after that is paired in full, across components alone.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 BATCH = 16
 MISS = 1e-6
+# Rounds of drawn leaders; the result is the same for any number of them.
+TURNS = 3
 # Word hashes a worker remembers; only speed depends on it.
 CACHED = 300_000
 # Shingles hashed at once.
@@ -215,25 +219,38 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def _across(bands: DataFrame, label: DataFrame) -> DataFrame:
-    """Pairs of members of one band that lie in different components, less those with the
-    band's smallest member, which have been compared.
+def _round(members: DataFrame, label: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """One leader for each band whose members lie in different components.
 
-    Each row is expanded against the members of its band that have a larger component.
+    Returns its pairs with members of other components, and the members of these bands
+    without the leaders, whose pairs have all been made. The leader is drawn by a hash, so
+    each turn and band has another.
     """
-    members = bands.join(label, "node", "left").select(
-        "band", "least", "node", F.coalesce("component", "node").alias("component")
+    labelled = members.join(label, "node", "left").select(
+        "band", "node", F.coalesce("component", "node").alias("component")
     )
+    drawn = F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "component"))
     mixed = (
-        members.groupBy("band")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        labelled.groupBy("band")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), drawn.alias("lead"))
         .where("low < high")
-        .select("band")
+        .select("band", F.col("lead.node").alias("lead"), F.col("lead.component").alias("of"))
     )
-    rest = members.where("node > least").join(mixed, "band").select("band", "node", "component")
-    other = rest.toDF("band", "other", "other_component")
+    rest = written(labelled.join(mixed, "band").where("node <> lead"), "members")
+    pairs = rest.where("component <> of").select(
+        F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")
+    )
+    return pairs, rest.select("band", "node")
+
+
+def _across(members: DataFrame, label: DataFrame) -> DataFrame:
+    """Pairs of members of one band that lie in different components."""
+    one = members.join(label, "node", "left").select(
+        "band", "node", F.coalesce("component", "node").alias("component")
+    )
+    two = one.toDF("band", "other", "other_component")
     return (
-        rest.join(other, "band")
+        one.join(two, "band")
         .where("component < other_component")
         .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
     )
@@ -282,7 +299,15 @@ def duplicates(docs: DataFrame) -> DataFrame:
     rest = _apart(stars, label).join(best, ["a", "b"], "left_anti")
     links.append(written(_verified(rest, texts), "rest"))
     label = written(components(reduce(DataFrame.unionByName, links)), "label")
-    across = written(_survivors(_across(bands, label), classes), "across")
+    members = bands.where("node > least").select("band", "node")
+    for turn in range(TURNS):
+        pairs, members = _round(members, label, turn)
+        survivors = written(_survivors(pairs, classes), "drawn")
+        if survivors.isEmpty():
+            continue
+        links.append(written(_verified(survivors, texts), "linked"))
+        label = written(components(reduce(DataFrame.unionByName, links)), "label")
+    across = written(_survivors(_across(members, label), classes), "across")
     links.append(written(_verified(across, texts), "last"))
     ids = nodes.join(membership, ["digest", "n_shingles"]).select(
         F.col("doc_id").alias("a"), F.col("node").alias("b")

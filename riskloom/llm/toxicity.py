@@ -35,8 +35,10 @@ BITS = 20
 SLOTS = 1 << BITS
 TOXIC_FROM = 0.7
 # Bounds of training: labelled rows of either class, landmarks, and clean units.
-FIT_TOXIC, FIT_CLEAN, LANDMARKS, FIT_UNITS = 1500, 4500, 384, 20_000
+FIT_TOXIC, FIT_CLEAN, LANDMARKS, FIT_UNITS = 1000, 3000, 384, 12_000
 CALIBRATE_PART = 4
+# Rows of a matrix that are worked on at once, to bound the driver's memory.
+ROWS_AT_ONCE = 512
 # Units a worker remembers; only speed depends on it.
 CACHED = 200_000
 # Margin of a text without units, below that of any unit.
@@ -151,9 +153,15 @@ def _machine(x: np.ndarray, y: np.ndarray, each: np.ndarray, penalty: float) ->
     ridge = penalty * np.eye(len(w))
     ridge[-1, -1] = 1e-6
     for _ in range(30):
-        active = y * (x @ w) < 1
-        xa, ea = x[active], each[active]
-        solved = np.linalg.solve(ridge + (xa * ea[:, None]).T @ xa, (xa * ea[:, None]).T @ y[active])
+        active = np.flatnonzero(y * (x @ w) < 1)
+        curve, toward = ridge.copy(), np.zeros(len(w))
+        for start in range(0, len(active), ROWS_AT_ONCE):
+            rows = active[start : start + ROWS_AT_ONCE]
+            part = x[rows].astype(np.float64)
+            weighed = part * each[rows][:, None]
+            curve += weighed.T @ part
+            toward += weighed.T @ y[rows]
+        solved = np.linalg.solve(curve, toward)
         if np.abs(solved - w).max() < 1e-6:
             break
         w = solved
@@ -180,20 +188,20 @@ def _fit(
     z /= lengths(landmarks)[:, None]
     place = np.full(SLOTS, len(used), np.int64)
     place[used] = np.arange(len(used))
-    wide = np.vstack([z.T, np.zeros((1, len(landmarks)))])
-    kernel = np.zeros((len(words), len(landmarks)))
-    for start in range(0, len(words), 2000):
-        some = words[start : start + 2000]
-        dense = np.zeros((len(some), len(used) + 1))
+    wide = np.vstack([z.T, np.zeros((1, len(landmarks)))]).astype(np.float32)
+    kernel = np.zeros((len(words), len(landmarks)), np.float32)
+    for start in range(0, len(words), ROWS_AT_ONCE):
+        some = words[start : start + ROWS_AT_ONCE]
+        dense = np.zeros((len(some), len(used) + 1), np.float32)
         for s, o, g in occurrences(some):
-            np.add.at(dense, (o, place[s]), g)
-        kernel[start : start + 2000] = dense @ wide / lengths(some)[:, None]
+            np.add.at(dense, (o, place[s]), np.float32(g))
+        kernel[start : start + ROWS_AT_ONCE] = dense @ wide / lengths(some)[:, None]
     values, vectors = np.linalg.eigh(z @ z.T)
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
     y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
     each = np.concatenate([0.5 * share / share.sum(), np.full(len(negative), 0.5 / len(negative))])
-    w = _machine(kernel @ root, y, each, penalty)
+    w = _machine(kernel @ root.astype(np.float32), y, each, penalty)
     table = np.zeros(SLOTS, np.float32)
     table[used] = z.T @ (root @ w[:-1])
     return table, float(w[-1])
@@ -260,7 +268,9 @@ def train(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model:
     Without both classes no text is toxic. Near copies among toxic rows count once.
     """
     empty = Model(np.zeros(SLOTS, np.float32), 0.0, 0.0, -10.0)
-    bags = [{u for s in sentences(t) for u in units(s)} for t, _ in rows]
+    same: dict[str, str] = {}
+    bags = [{same.setdefault(u, u) for s in sentences(t) for u in units(s)} for t, _ in rows]
+    del same
     labels = np.array([y for _, y in rows], np.int64)
     held = np.arange(len(rows)) % CALIBRATE_PART == CALIBRATE_PART - 1
     fit_bags = [b for b, h in zip(bags, held, strict=True) if not h]
