@@ -11,7 +11,8 @@ Candidates never come as all pairs of a band's members. First each member is pai
 the smallest member alone, and what that links is contracted. In ``TURNS`` further rounds
 each band that still holds different components draws one more leader, which is paired
 with members of other components and then leaves the band, and links are contracted
-again. Only what is apart after that is paired in full, across components alone.
+again. What is still apart is paired across components alone: in full in bands of a few
+members, and by the rarest shingles in larger ones, as their members share a passage.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import fresh, slices, words
@@ -38,7 +39,9 @@ HASHES = BANDS * ROWS
 BATCH = 16
 MISS = 1e-6
 # Rounds of drawn leaders; the result is the same for any number of them.
-TURNS = 3
+TURNS = 2
+# Bands with up to so many members left are paired in full, others by rarest shingles.
+SMALL = 8
 # Word hashes a worker remembers; only speed depends on it.
 CACHED = 300_000
 # Shingles hashed at once.
@@ -243,17 +246,84 @@ def _round(members: DataFrame, label: DataFrame, turn: int) -> tuple[DataFrame,
     return pairs, rest.select("band", "node")
 
 
-def _across(members: DataFrame, label: DataFrame) -> DataFrame:
-    """Pairs of members of one band that lie in different components."""
-    one = members.join(label, "node", "left").select(
+def _across(members: DataFrame, label: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of members of one band that lie in different components.
+
+    Bands of up to ``SMALL`` members are paired directly. Members of larger ones, which
+    share much without being near, are joined by their rarest shingles: two sets that reach
+    the threshold share one among those that either can do without.
+    """
+    here = members.join(label, "node", "left").select(
         "band", "node", F.coalesce("component", "node").alias("component")
     )
+    size = here.groupBy("band").agg(F.count("*").alias("size"))
+    here = here.join(size, "band")
+    one = here.where(F.col("size") <= SMALL).select("band", "node", "component")
     two = one.toDF("band", "other", "other_component")
-    return (
+    direct = (
         one.join(two, "band")
         .where("component < other_component")
         .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
     )
+    crowded = here.where(F.col("size") > SMALL).select("node", "component").distinct()
+    return direct.unionByName(_by_rarest(crowded, texts))
+
+
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, component, n, shingle) rows."""
+    known = _Hashes()
+    for batch in slices(batches, 128):
+        sets = [shingles(t.as_py(), known) for t in batch["text"]]
+        if len(known) > CACHED:
+            known.clear()
+        if not (sizes := [len(s) for s in sets]):
+            continue
+        columns = [np.repeat(batch[c].to_numpy(), sizes) for c in ("node", "component")]
+        columns.append(np.repeat(np.array(sizes, np.int64), sizes))
+        columns.append(np.concatenate(sets).view(np.int64))
+        yield pa.record_batch(columns, names=["node", "component", "n", "shingle"])
+
+
+def _by_rarest(crowded: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs across components of ``crowded`` (node, component) that share a shingle among
+    the rarest of either.
+
+    Of sets with x <= y elements at the threshold t, y >= t x has to share one of its
+    y - ceil(t y) + 1 rarest with one of the x - ceil(2 t / (1 + t) x) + 1 rarest of x; the
+    order is by the number of sets here that hold the shingle. Where the first shared one
+    stands bounds how many can follow, which leaves out sets that share a long passage
+    behind rare shingles of their own.
+    """
+    rows = written(
+        texts.join(crowded, "node")
+        .select("node", "component", "text")
+        .mapInArrow(_exploded, "node long, component long, n long, shingle long"),
+        "shingles",
+    )
+    held = rows.groupBy("shingle").agg(F.count("*").alias("held"))
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("held", "shingle"))
+    probe = F.expr(f"n - ceil({PERCENT} * n / 100) + 1")
+    index = F.expr(f"n - ceil(2 * {PERCENT} * n / (100 + {PERCENT})) + 1")
+    prefix = written(
+        rows.join(held, "shingle")
+        .withColumn("rank", rank)
+        .where(F.col("rank") <= probe)
+        .select("node", "component", "n", "shingle", "rank", (F.col("rank") <= index).alias("indexed")),
+        "rarest",
+    )
+    short = prefix.where("indexed").select(
+        "shingle",
+        F.col("node").alias("x"),
+        F.col("n").alias("m"),
+        F.col("rank").alias("at"),
+        F.col("component").alias("of"),
+    )
+    return (
+        prefix.join(short, "shingle")
+        .where(f"component <> of and (m < n or m = n and x < node) and 100 * m >= {PERCENT} * n")
+        .where(f"{100 + PERCENT} * (1 + least(m - at, n - rank)) >= {PERCENT} * (m + n)")
+        .select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b"))
+    )
 
 
 def duplicates(docs: DataFrame) -> DataFrame:
@@ -307,7 +377,7 @@ def duplicates(docs: DataFrame) -> DataFrame:
             continue
         links.append(written(_verified(survivors, texts), "linked"))
         label = written(components(reduce(DataFrame.unionByName, links)), "label")
-    across = written(_survivors(_across(members, label), classes), "across")
+    across = written(_survivors(_across(members, label, texts), classes), "across")
     links.append(written(_verified(across, texts), "last"))
     ids = nodes.join(membership, ["digest", "n_shingles"]).select(
         F.col("doc_id").alias("a"), F.col("node").alias("b")
