@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm import (
     bpe,
+    brown_lm,
+    kneser_ney,
     mixing,
     near_dedup,
     quality_rules,
     sharding,
     token_counts,
+    top_k,
     toxicity,
 )
 from riskloom.llm.common import table
@@ -30,10 +33,18 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.search(table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"))
 
 
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.digests(docs, public_tokenizers.path(MULTI_BPE), public_tokenizers.PATTERN)
@@ -53,15 +64,22 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counts(docs, public_tokenizers.path(WORD_BPE))
 
 
+def op10_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_lm.scored(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity,
         op2_near_dedup,
+        op3_top_k,
         op4_sharding,
+        op5_kneser_ney,
         op6_byte_bpe,
         op7_quality_rules,
         op8_mixing,
         op9_token_counts,
+        op10_brown_lm,
     )
 }
