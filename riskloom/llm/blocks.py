@@ -8,7 +8,7 @@ meet in one task. Blocks hold whole documents and spread copies and hot sources
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import slices, text_of
 
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 10_000_000
 LEAST_BLOCKS = 64
 
 
-def blocked(docs: DataFrame, *columns: str) -> DataFrame:
-    """(block, text, and ``columns``), dealt out by block.
+def blocked(docs: DataFrame, *columns: str) -> tuple[DataFrame, int]:
+    """(block, text, and ``columns``), dealt out by block; and the number of blocks.
 
     The number of blocks follows the bytes of all texts. Rows without an id are spread by
     their text.
@@ -30,13 +30,14 @@ def blocked(docs: DataFrame, *columns: str) -> DataFrame:
     blocks = max(LEAST_BLOCKS, size // BLOCK_BYTES)
     block = F.pmod(F.xxhash64("doc_id", text_of()), F.lit(blocks)).cast("int")
     rows = docs.select(block.alias("block"), text_of().alias("text"), *columns)
-    return rows.repartition(blocks, "block")
+    return rows.repartition(blocks, "block"), blocks
 
 
 def asked(
-    rows: DataFrame, keys: Callable[[str], Iterator], key_type: str, arrow: pa.DataType
+    rows: DataFrame, parts: int, keys: Callable[[str], Iterable], key_type: str, arrow: pa.DataType
 ) -> DataFrame:
-    """Distinct (block, key) over the texts of ``rows``; ``keys`` gives those of a text."""
+    """Distinct (block, key) over the texts of ``rows``, dealt out by key; ``keys`` gives those
+    of a text."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted: dict[int, set] = {}
@@ -50,7 +51,8 @@ def asked(
             )
 
     # all columns go in, so that both uses of ``rows`` read one exchange
-    return rows.mapInArrow(ask, f"block int, key {key_type}")
+    found = rows.mapInArrow(ask, f"block int, key {key_type}")
+    return found.repartition(parts, "key")
 
 
 def answered(

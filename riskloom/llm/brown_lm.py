@@ -12,13 +12,13 @@ of documents are looked up by joins, so no table of all words is sent anywhere.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.blocks import answered, asked, blocked
@@ -219,59 +219,46 @@ class Model:
     tokens: int
     types: int
 
-    def scorer(self, answers: dict[bytes, int]):
-        """Function from a text to (n_tokens, n_known, base_score, score); ``answers`` has the
-        training counts of the rare words that it may meet."""
-        units = _Units(self.frequent)
+    def scorer(self, found: pa.Table) -> Callable[[str], tuple[int, int, float, float]]:
+        """Function from a text to (n_tokens, n_known, base_score, score).
+
+        ``found`` has the rare words that the texts hold: key, training count n (null if
+        unseen) and shape.
+        """
         end = len(self.frequent)
-        share = np.log10(self.tokens + self.types + 1)
-        index: dict[bytes, int] = {}
-        unit, emit, base, known = [], [], [], []
-
-        def add(word: bytes) -> int:
-            u = units[word]
-            if u < end:
-                count, own = int(self.frequent_counts[u]), 0.0
-            else:
-                count = answers.get(word, 0)
-                s = u - end - 1
-                size, kinds = self.shape_tokens[s], self.shape_types[s]
-                mass = count - DISCOUNT if count else DISCOUNT * kinds
-                own = float(np.log10(mass / size)) if size else 0.0
-            index[word] = out = len(unit)
-            unit.append(u)
-            emit.append(float(self.emit[u]) + own)
-            base.append(float(np.log10(count + 1)) - share)
-            known.append(count > 0)
-            return out
-
-        end_base = float(np.log10(self.end_count + 1)) - share
-        last = self.classes[end]
+        rare = found["n"].fill_null(0).to_numpy()
+        shape = found["shape"].to_numpy()
+        size, kinds = self.shape_tokens[shape], self.shape_types[shape]
+        mass = np.where(rare > 0, rare - DISCOUNT, DISCOUNT * kinds)
+        own = np.where(size > 0, np.log10(np.where(size > 0, mass, 1) / np.maximum(size, 1)), 0.0)
+        unit = np.concatenate([np.arange(end + 1), shape + end + 1])
+        count = np.concatenate([self.frequent_counts, [self.end_count], rare])
+        emit = self.emit[unit] + np.concatenate([np.zeros(end + 1), own])
+        base = np.log10(count + 1.0) - np.log10(self.tokens + self.types + 1)
+        known, cls = count > 0, self.classes[unit]
+        place = {w: i for i, w in enumerate(self.frequent)}
+        place.update(zip(found["key"].to_pylist(), range(end + 1, len(unit)), strict=True))
 
         def score(text: str) -> tuple[int, int, float, float]:
             parts = words(text)
             if not self.tokens:
                 return len(parts) + 1, 0, 0.0, 0.0
-            for word in set(parts).difference(index):
-                add(word)
-            ids = np.fromiter(map(index.__getitem__, parts), np.int64, len(parts))
-            seen, at = np.unique(ids, return_inverse=True)
-            pick = seen.tolist()
-            cls = self.classes[np.array([unit[i] for i in pick], np.int64)][at] if pick else ids
-            path = np.concatenate([[last], cls, [last]]).astype(np.int64)
-            total = float(self.after[path[:-1], path[1:]].sum()) + float(self.emit[end])
-            times = np.bincount(at, minlength=len(pick)) if pick else np.zeros(0)
-            if pick:
-                total += float(times @ np.array([emit[i] for i in pick]))
-                low = float(times @ np.array([base[i] for i in pick]))
-                met = int(times @ np.array([known[i] for i in pick], np.int64))
-            else:
-                low, met = 0.0, 0
-            return len(parts) + 1, met + (self.end_count > 0), low + end_base, total
+            ids = np.empty(len(parts) + 1, np.int64)
+            ids[:-1] = np.fromiter(map(place.__getitem__, parts), np.int64, len(parts))
+            ids[-1] = end
+            path = cls[ids]
+            total = float(emit[ids].sum() + self.after[path[:-1], path[1:]].sum())
+            total += float(self.after[cls[end], path[0]])
+            return len(ids), int(known[ids].sum()), float(base[ids].sum()), total
 
         return score
 
 
+def _shape() -> Column:
+    """Group of a word by its last two bytes, as ``_Units`` has it."""
+    return (F.crc32(F.substring("key", -2, 2)) % SHAPES).cast("int")
+
+
 def fit(docs: DataFrame, vocabulary: DataFrame, n_docs: int) -> Model:
     """Model of the training documents ``docs`` whose word counts are ``vocabulary`` (key, n)."""
     total = vocabulary.agg(F.sum("n").alias("n"), F.count("*").alias("types")).first()
@@ -280,10 +267,9 @@ def fit(docs: DataFrame, vocabulary: DataFrame, n_docs: int) -> Model:
     chosen = vocabulary.where(F.col("n") * UNITS >= tokens).orderBy(F.desc("n"), "key").toArrow()
     frequent, counts = chosen["key"].to_pylist(), chosen["n"].to_numpy()
     end = len(frequent)
-    shape = F.crc32(F.substring("key", -2, 2)) % SHAPES
     rare = (
         vocabulary.where(F.col("n") * UNITS < tokens)
-        .groupBy(shape.cast("int").alias("shape"))
+        .groupBy(_shape().alias("shape"))
         .agg(F.sum("n").alias("n"), F.count("*").alias("types"))
         .toArrow()
     )
@@ -329,18 +315,17 @@ def scored(docs: DataFrame) -> DataFrame:
         "words",
     )
     model = fit(train, vocabulary, train.count())
-    rows = blocked(
+    rows, blocks = blocked(
         docs.withColumn("held_out", held_out).withColumn("doc_id", F.col("doc_id").cast("long")),
         "doc_id",
         "held_out",
     )
     frequent = frozenset(model.frequent)
-    need = asked(rows, lambda t: set(words(t)).difference(frequent), "binary", pa.binary())
-    answers = need.join(vocabulary, "key")
+    need = asked(rows, blocks, lambda t: set(words(t)).difference(frequent), "binary", pa.binary())
+    answers = need.join(vocabulary, "key", "left").select("block", "key", "n", _shape().alias("shape"))
 
     def score(block: pa.Table, found: pa.Table) -> pa.Table:
-        known = dict(zip(found["key"].to_pylist(), found["n"].to_pylist(), strict=True))
-        of = model.scorer(known)
+        of = model.scorer(found)
         results = [of(t.as_py()) for t in block["text"]]
         columns = list(zip(*results, strict=True)) or [[], [], [], []]
         kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())

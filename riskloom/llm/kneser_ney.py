@@ -111,7 +111,7 @@ def levels(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
 
 def log_probability(wanted: DataFrame, counts: DataFrame) -> DataFrame:
     """(key, logp) of the distinct n-grams ``wanted`` (key), natural logarithm."""
-    out, p = wanted, F.lit(1 / 256)
+    out, p = wanted.select("key"), F.lit(1 / 256)
     for order, (gram, context) in enumerate(levels(counts), 1):
         code = F.col("key").bitwiseAND(F.lit((1 << 8 * order) - 1))
         if order <= 2:  # at most 65,536 grams
@@ -180,9 +180,10 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .agg(F.sum("n").alias("n")),
         "grams",
     )
-    dealt = blocked(rows, "doc_id", "lang", "trusted")
-    need = asked(dealt, _distinct, "long", pa.int64())
-    wanted = need.select("key").distinct()
+    dealt, blocks = blocked(rows, "doc_id", "lang", "trusted")
+    need = asked(dealt, blocks, _distinct, "long", pa.int64())
+    # with both columns in use this reads the exchange that the join below reads
+    wanted = need.groupBy("key").agg(F.min("block").alias("block")).where("block >= 0")
     answers = need.join(log_probability(wanted, counts), "key")
     scored = written(
         answered(
