@@ -38,8 +38,8 @@ BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 BATCH = 16
 MISS = 1e-6
-# Rounds of drawn leaders; the result is the same for any number of them.
-TURNS = 2
+# Rounds of drawn leaders, one at least; the result is the same for any number of them.
+TURNS = 1
 # Bands with up to so many members left are paired in full, others by rarest shingles.
 SMALL = 8
 # Word hashes a worker remembers; only speed depends on it.
@@ -367,15 +367,12 @@ def duplicates(docs: DataFrame) -> DataFrame:
     links = [written(_verified(best, texts), "first")]
     label = written(components(links[0]), "label")
     rest = _apart(stars, label).join(best, ["a", "b"], "left_anti")
-    links.append(written(_verified(rest, texts), "rest"))
-    label = written(components(reduce(DataFrame.unionByName, links)), "label")
     members = bands.where("node > least").select("band", "node")
     for turn in range(TURNS):
         pairs, members = _round(members, label, turn)
-        survivors = written(_survivors(pairs, classes), "drawn")
-        if survivors.isEmpty():
-            continue
-        links.append(written(_verified(survivors, texts), "linked"))
+        drawn = _survivors(pairs, classes).select("a", "b")
+        links.append(written(_verified(drawn.unionByName(rest).distinct(), texts), "linked"))
+        rest = rest.limit(0)
         label = written(components(reduce(DataFrame.unionByName, links)), "label")
     across = written(_survivors(_across(members, label, texts), classes), "across")
     links.append(written(_verified(across, texts), "last"))
