@@ -292,8 +292,9 @@ def train(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model:
     half = landmarks // 2
     model = empty
     for _ in range(3):
-        chosen = ranked + negative[: half // 2]
-        chosen += drawn[: landmarks - len(chosen)]
+        spelled = [f.join(u) for f in _FILLERS[:2] for u in ranked[: half // 4] if len(u) > 3]
+        chosen = ranked + spelled + negative[: half // 2]
+        chosen += drawn[: max(landmarks - len(chosen), half // 4)]
         weights, bias = _fit(positive, negative, list(dict.fromkeys(chosen)), share)
         model = Model(weights, bias, 1.0, 0.0)
         # anew: the clean words nearest to insults join the landmarks
