@@ -24,7 +24,7 @@ SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 # Labelled rows of each class that the regression is fitted on, at most.
-FIT_PER_CLASS = 2000
+FIT_PER_CLASS = 1000
 CALIBRATE_PART = 4
 # Fixed threshold on the calibrated probability of good quality.
 KEEP_FROM = 0.5

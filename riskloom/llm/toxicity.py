@@ -35,7 +35,7 @@ BITS = 20
 SLOTS = 1 << BITS
 TOXIC_FROM = 0.7
 # Bounds of training: labelled rows of either class, landmarks, and clean units.
-FIT_TOXIC, FIT_CLEAN, LANDMARKS, FIT_UNITS = 1000, 3000, 384, 12_000
+FIT_TOXIC, FIT_CLEAN, LANDMARKS, FIT_UNITS = 800, 2000, 384, 8_000
 CALIBRATE_PART = 4
 # Rows of a matrix that are worked on at once, to bound the driver's memory.
 ROWS_AT_ONCE = 512
