@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom import schemas as S
-from riskloom.functions.scalars import JSON_TIME, json_row, money, score
+from riskloom.functions.scalars import json_row, money, score
 from riskloom.operators.dedup import first_row
 
 ID_BUCKETS = 1024
@@ -26,13 +29,22 @@ def alert_messages(silver: DataFrame) -> DataFrame:
 
 
 def _read_messages(messages: DataFrame) -> DataFrame:
-    payload = F.from_json(F.col("value").cast("string"), S.ALERT_MESSAGE, JSON_TIME)
+    """Fields of the messages. A time may have a fraction and a zone or not; without a zone
+    it is in UTC, the session's."""
+    texts = T.StructType(
+        [
+            T.StructField(f.name, T.StringType() if f.name == "event_time" else f.dataType)
+            for f in S.ALERT_MESSAGE.fields
+        ]
+    )
+    payload = F.from_json(F.col("value").cast("string"), texts)
     others = [c for c in messages.columns if c not in ("key", "value")]
-    return messages.select(*others, payload.alias("p")).select(*others, "p.*")
+    rows = messages.select(*others, payload.alias("p")).select(*others, "p.*")
+    return rows.withColumn("event_time", F.col("event_time").try_cast("timestamp"))
 
 
 def extract_alerts(messages: DataFrame) -> DataFrame:
-    """Alert columns of messages that carry a score; level and reason get defaults."""
+    """Alert columns of messages that can be stored; level and reason get defaults."""
     level = F.when(F.col("risk_score") < F.lit(S.CRITICAL_LEVEL), F.lit("HIGH")).otherwise(
         F.lit("CRITICAL")
     )
@@ -46,12 +58,15 @@ def extract_alerts(messages: DataFrame) -> DataFrame:
 
 
 def rejected_alerts(messages: DataFrame) -> DataFrame:
-    """Messages without a transaction id or a score, for a quarantine table."""
+    """Messages that lack what an alert must have, for a quarantine table."""
     return _read_messages(messages).filter(~_usable())
 
 
 def _usable() -> Column:
-    return F.col("transaction_id").isNotNull() & F.col("risk_score").isNotNull()
+    """All of the alert table's columns that take no NULL, as they will be stored."""
+    stored = [F.col(c) for c in ("transaction_id", "account_id", "customer_id", "event_time")]
+    stored += [money("amount"), score("risk_score")]
+    return reduce(and_, [c.isNotNull() for c in stored])
 
 
 def number_rows(rows: DataFrame, key: str, name: str, after: int = 0) -> DataFrame:

@@ -17,7 +17,11 @@ def snapshot_time(at: datetime | str) -> Column:
 
 
 def first_versions(extract: DataFrame, key: str, sk: str, at: datetime | str) -> DataFrame:
-    """A history that starts with this extract."""
+    """A history that starts with this extract; copies of a row collapse into one."""
+    return _opened(_one_per_key(extract, key), key, sk, at)
+
+
+def _opened(extract: DataFrame, key: str, sk: str, at: datetime | str) -> DataFrame:
     time = snapshot_time(at)
     return extract.select(
         surrogate_key(key, time).alias(sk),
@@ -43,7 +47,7 @@ def changed_versions(
     unless ``close_missing``. Copies of an extract row collapse into one.
     """
     time = snapshot_time(at)
-    fresh = first_versions(_one_per_key(extract, key), key, sk, at).select(*current.columns)
+    fresh = _opened(_one_per_key(extract, key), key, sk, at).select(*current.columns)
     old = current.select(F.col(key).alias("_key"), F.struct(*current.columns).alias("old"))
     new = fresh.select(F.col(key).alias("_key"), F.struct(*current.columns).alias("new"))
     both = old.join(new, "_key", "full")

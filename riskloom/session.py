@@ -23,7 +23,8 @@ RUNTIME_CONF = {
 # batch a foreachBatch function gets has no state and wants it back.
 ADAPTIVE_CONF = {n: v for n, v in RUNTIME_CONF.items() if n.startswith("spark.sql.adaptive")}
 
-STATE_PARTITIONS_PER_CORE = 2
+# Partitions of a new checkpoint's state; by default those of shuffles.
+STATE_PARTITIONS = "spark.riskloom.statePartitions"
 STATE_STORE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -59,12 +60,11 @@ def state_settings(spark: SparkSession) -> dict[str, str]:
     """Settings to start a stateful stream with.
 
     State is kept in RocksDB, outside the JVM heap. Each state partition is a store of
-    its own and stays for the life of the checkpoint, so there are no more of them
-    than a few per core.
+    its own and stays for the life of the checkpoint, so their number is a setting and
+    does not follow the cores that happen to be there at the first start.
     """
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    useful = STATE_PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
-    return {**STATE_STORE_CONF, "spark.sql.shuffle.partitions": str(min(wanted, useful))}
+    wanted = spark.conf.get(STATE_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    return {**STATE_STORE_CONF, "spark.sql.shuffle.partitions": wanted}
 
 
 def prepare(spark: SparkSession) -> SparkSession:

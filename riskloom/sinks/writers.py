@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,31 +40,57 @@ def save_table(
     return f"{target}.{name}"
 
 
+def running_stream(spark: SparkSession) -> str:
+    """Id of the stream whose micro-batch this thread works on, or nothing outside of one.
+
+    It belongs to the checkpoint: a restart keeps it, a new checkpoint has another.
+    """
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
+def batch_key(stream: str, batch_id: int) -> int:
+    """Number of a micro-batch that no other stream's batch has.
+
+    Batches count from 0 in every stream, so the stream's id goes above them. Outside of a
+    stream, and for the empty first batch -1, the key is the batch id.
+    """
+    if not stream or batch_id < 0:
+        return batch_id
+    return ((crc32(stream.encode()) & 0x7FFFFFFF) << 32) | batch_id
+
+
 def write_batch(
     df: DataFrame,
     path: str,
     batch_id: int,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    stream: str | None = None,
 ) -> None:
     """Write a micro-batch to a partition of its own; a repeat replaces it.
 
-    Delta tables are appended to instead, and skip a batch they already hold.
+    ``stream`` is by default the one that runs. A stream with a new checkpoint counts its
+    batches from 0 again and writes beside the earlier one's. Delta tables are appended to
+    instead, and skip a batch they already hold.
     """
+    stream = running_stream(df.sparkSession) if stream is None else stream
+    key = batch_key(stream, batch_id)
     if fmt == "delta":
-        rows = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        writer = rows.write.format(fmt).mode("append").options(**delta_batch(path, batch_id))
+        rows = df.withColumn("batch_id", F.lit(key).cast("bigint"))
+        options = delta_batch(path, batch_id, stream)
+        writer = rows.write.format(fmt).mode("append").options(**options)
         writer.partitionBy("batch_id", *partition_by).save(path)
     else:
-        save_partitioned(df, f"{path}/batch_id={batch_id}", fmt, partition_by)
+        save_partitioned(df, f"{path}/batch_id={key}", fmt, partition_by)
 
 
-def delta_batch(path: str, batch_id: int) -> dict[str, str]:
-    """Options by which a Delta table knows a batch it has already taken.
+def delta_batch(path: str, batch_id: int, stream: str = "") -> dict[str, str]:
+    """Options by which a Delta table knows a stream's batch it has already taken.
 
     Ids count from 0 in a stream; the empty first batch of a table has -1.
     """
-    return {"txnAppId": f"riskloom:{path}", "txnVersion": str(batch_id + 1)}
+    app = f"riskloom:{path}:{stream}" if stream else f"riskloom:{path}"
+    return {"txnAppId": app, "txnVersion": str(batch_id + 1)}
 
 
 def save_partitioned(

@@ -10,15 +10,23 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom import schemas as S
-from riskloom.operators.alerts import extract_alerts, new_alerts
+from riskloom.operators.alerts import extract_alerts, new_alerts, rejected_alerts
 from riskloom.session import ADAPTIVE_CONF, settings
-from riskloom.sinks.writers import each_batch, empty_table, write_batch
+from riskloom.sinks.writers import (
+    batch_key,
+    each_batch,
+    empty_table,
+    running_stream,
+    write_batch,
+)
 
 # Each micro-batch has ids of its own, so none has to look up the last one.
 IDS_PER_BATCH = 2**36
 
 
 def stored_alerts(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    if fmt == "delta":  # takes no schema from outside
+        return spark.read.format(fmt).load(path)
     schema = T.StructType([*S.OPERATIONAL_ALERTS.fields, T.StructField("batch_id", T.LongType())])
     return spark.read.format(fmt).schema(schema).load(path)
 
@@ -31,25 +39,36 @@ def consume(
     now: Column | None = None,
     order: Sequence[str] = ("event_time",),
     available_now: bool = False,
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """Insert an alert per transaction that has none; a failed batch is run again.
 
-    A repeated batch does not see its own earlier output, and replaces it.
+    A repeated batch does not see its own earlier output, and replaces it. Messages that
+    can't be stored go to ``rejects`` under the same batch, by default beside the table.
+    Ids start above those that were stored when the stream started.
     """
     spark = messages.sparkSession
+    rejects = rejects or f"{path.rstrip('/')}_rejected"
     empty_table(spark, path, S.OPERATIONAL_ALERTS, fmt)
+    empty_table(spark, rejects, rejected_alerts(_empty(spark, messages)).schema, fmt)
+    last = stored_alerts(spark, path, fmt).agg(F.max("alert_id")).first()[0] or 0
 
     def insert(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
+        key = batch_key(running_stream(session), batch_id)
         with settings(session, ADAPTIVE_CONF):
-            incoming = extract_alerts(batch).persist()
+            batch.persist()
             try:
-                existing = stored_alerts(session, path, fmt).filter(
-                    F.col("batch_id") != batch_id
-                )
-                rows = new_alerts(existing, incoming, now, order, batch_id * IDS_PER_BATCH)
+                existing = stored_alerts(session, path, fmt).filter(F.col("batch_id") != key)
+                after = last + batch_id * IDS_PER_BATCH
+                rows = new_alerts(existing, extract_alerts(batch), now, order, after)
                 write_batch(rows, path, batch_id, fmt)
+                write_batch(rejected_alerts(batch), rejects, batch_id, fmt)
             finally:
-                incoming.unpersist()
+                batch.unpersist()
 
     return each_batch(messages, insert, checkpoint, available_now)
+
+
+def _empty(spark: SparkSession, messages: DataFrame) -> DataFrame:
+    return spark.createDataFrame([], messages.schema)

@@ -60,7 +60,8 @@ def deduplicated_stream(
 ) -> DataFrame:
     """Parsed and deduplicated rows with their validity columns, for a router to score.
 
-    Only good rows enter the dedup step, without their raw text. Without
+    Only good rows enter the dedup step, without their raw text; broken ones are left to
+    ``quarantine``, which ``score_stream`` starts along with this. Without
     ``known_currency`` rows of other currencies go on to the router and its policy.
     ``quarantine_after_dedup`` keeps broken rows in the stream through the dedup step,
     where all rows with NULL keys fall into one.
@@ -76,6 +77,37 @@ def deduplicated_stream(
     return _stamped(rows, processed_at)
 
 
+def score_stream(
+    bronze: DataFrame,
+    router: Router,
+    checkpoint: str,
+    available_now: bool = False,
+    processed_at: Column | None = None,
+    known_currency: bool = True,
+    **options,
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Quarantine and scoring over ``bronze`` in one call: every row goes to one of the
+    router's sinks, but for copies and rows behind the watermark.
+
+    The stateless query sends broken rows to the router's dead letters, the stateful one
+    deduplicates and routes the others; each has a checkpoint below ``checkpoint``.
+    Further options are those of ``deduplicated_stream``.
+    """
+    checks = {k: v for k, v in options.items() if k not in ("watermark", "thin")}
+    broken = _stamped(_checked(bronze, known_currency, checks), processed_at)
+
+    def to_dead_letters(batch: DataFrame, batch_id: int) -> None:
+        router.dead_letters(dead_letters(batch, router.scoring), batch_id)
+
+    letters = each_batch(
+        broken.filter("not is_valid"), to_dead_letters, f"{checkpoint}/broken", available_now
+    )
+    rows = deduplicated_stream(
+        bronze, processed_at=processed_at, known_currency=known_currency, **options
+    )
+    return letters, route(rows, router, f"{checkpoint}/scored", available_now)
+
+
 def _checked(bronze: DataFrame, known_currency: bool, options: dict) -> DataFrame:
     rows = validate.validate(parse_payload(bronze), **options)
     return validate.quarantine_currency(rows) if known_currency else rows

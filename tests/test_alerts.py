@@ -25,7 +25,8 @@ PAYLOADS = [
      "risk_score": 0.85, "fraud_reason": "why", "event_time": "2024-01-01T12:00:00.000Z"},
     {"transaction_id": "b", "account_id": "A", "customer_id": "C", "amount": 1.0,
      "risk_score": 0.9, "event_time": "2024-01-01T14:00:00.123456+02:00"},
-    {"transaction_id": "c", "risk_score": 1.0, "risk_level": "LOW"},
+    {"transaction_id": "c", "account_id": "A", "customer_id": "C", "amount": 2.0,
+     "risk_score": 1.0, "risk_level": "LOW", "event_time": "2024-01-01T12:00:00Z"},
     {"transaction_id": "d"},
     {"risk_score": 0.8},
 ]
@@ -43,6 +44,24 @@ def test_extract_defaults(spark):
     assert {r.offset for r in rejected.collect()} == {3, 4}
 
 
+def test_event_times_in_any_iso_form(spark):
+    times = ["T12:00:00Z", "T12:00:00+00:00", "T12:00:00", "T14:00:00.000+02:00", "T12:00:00.0Z"]
+    payloads = [{**PAYLOADS[0], "transaction_id": t, "event_time": f"2024-01-01{t}"} for t in times]
+    rows = alerts.extract_alerts(_messages(spark, payloads)).collect()
+    assert len(rows) == len(times) and len({r.event_time for r in rows}) == 1
+
+
+def test_what_lacks_a_required_column_is_rejected(spark):
+    payloads = [
+        {k: v for k, v in PAYLOADS[0].items() if k != name}
+        for name in ("transaction_id", "account_id", "customer_id", "amount", "risk_score", "event_time")
+    ]
+    payloads.append({**PAYLOADS[0], "event_time": "soon"})
+    messages = _messages(spark, payloads)
+    assert alerts.extract_alerts(messages).isEmpty()
+    assert alerts.rejected_alerts(messages).count() == len(payloads)
+
+
 def test_insert_if_absent(spark):
     none = spark.createDataFrame([], S.OPERATIONAL_ALERTS)
     incoming = alerts.extract_alerts(_messages(spark, PAYLOADS[:2] * 3))
