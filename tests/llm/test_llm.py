@@ -1,6 +1,7 @@
 """The training-data operators against libraries and brute force, and on odd tables."""
 
 import hashlib
+import random
 import math
 import zlib
 from collections import Counter, defaultdict
@@ -93,6 +94,35 @@ def test_lower_rank_interrupts_a_bucket():
     assert bpe.merge(b"ababc", ranks, bpe.RankQueue(9)) == [3, 2]
 
 
+def _plain_bpe(piece, ranks):
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    while True:
+        pairs = [(ranks.get(parts[i] + parts[i + 1]), i) for i in range(len(parts) - 1)]
+        best = min((p for p in pairs if p[0] is not None), default=None)
+        if best is None:
+            return [ranks[p] for p in parts]
+        parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+
+
+def test_pieces_in_one_queue_merge_as_alone():
+    rng = random.Random(5)
+
+    def drawn(longest):
+        return bytes(rng.choice(b"abc") for _ in range(rng.randint(1, longest)))
+
+    for _ in range(300):
+        tokens = sorted({t for t in (drawn(5) for _ in range(20)) if len(t) > 1})
+        order = rng.sample(range(256 + len(tokens)), 256 + len(tokens))
+        known = dict(zip([bytes([b]) for b in range(256)] + tokens, order, strict=True))
+        ranks, pieces = bpe.Ranks(known), [drawn(14) for _ in range(9)]
+        queue = ranks.queue()
+        want = [np.array(_plain_bpe(p, known), "<u4").tobytes() for p in pieces]
+        assert bpe.merge_all(pieces, ranks, queue) == want
+        ranks.edge = None  # as with a vocabulary that uses every byte
+        assert bpe.merge_all(pieces, ranks, queue) == want
+        assert not queue.buckets and not any(queue.low)
+
+
 def test_token_counts_as_the_library(spark, sf_dir, texts):
     path = public_tokenizers.path(queries.WORD_BPE)
     library = Tokenizer.from_file(path)
