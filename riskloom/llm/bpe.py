@@ -26,7 +26,7 @@ ENCODED = "ids binary, n_tokens long"
 SHIFT = 8
 MASK = (1 << SHIFT) - 1
 # Encoded pre-tokens in one generation of a worker's memory; only speed depends on it.
-CACHED = 120_000
+CACHED = 200_000
 # Length of texts, and of new pre-tokens, that are taken at once.
 TURN_CHARS, LINE_BYTES = 250_000, 16_000
 # Marks in a list of ids: the place between two pre-tokens, and a byte merged into another.
