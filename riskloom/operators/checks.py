@@ -209,8 +209,25 @@ def fact_constraints(
     ]
 
 
-def version_constraints(sk: str, key: str) -> list:
-    return [*unique(sk), *not_null(sk, key, "valid_from")]
+def version_constraints(sk: str, *columns: str) -> list:
+    return [*unique(sk), *not_null(sk, *columns, "valid_from")]
+
+
+def merchant_constraints() -> list:
+    return [
+        *unique("merchant_sk"),
+        *unique("merchant_id"),
+        *not_null("merchant_sk", "merchant_id"),
+    ]
+
+
+def date_constraints() -> list:
+    return [
+        *unique("date_sk"),
+        *not_null(
+            "date_sk", "full_date", "day", "month", "year", "day_of_week", "day_name", "is_weekend"
+        ),
+    ]
 
 
 def alert_constraints() -> list:

@@ -306,7 +306,15 @@ CONSTRAINTS = [
     _unique("dim_customer", "customers", "customer_sk"),
     *_nulls("dim_customer", "customers", "customer_sk", "customer_id", "valid_from"),
     _unique("dim_account", "accounts", "account_sk"),
-    *_nulls("dim_account", "accounts", "account_sk", "account_id", "valid_from"),
+    *_nulls("dim_account", "accounts", "account_sk", "account_id", "customer_id", "valid_from"),
+    _unique("dim_merchant", "merchants", "merchant_sk"),
+    _unique("dim_merchant", "merchants", "merchant_id"),
+    *_nulls("dim_merchant", "merchants", "merchant_sk", "merchant_id"),
+    _unique("dim_date", "dates", "date_sk"),
+    *_nulls(
+        "dim_date", "dates", "date_sk", "full_date", "day", "month", "year", "day_of_week",
+        "day_name", "is_weekend",
+    ),
     _unique("operational_alerts", "alerts", "alert_id"),
     _unique("operational_alerts", "alerts", "transaction_id"),
     *_nulls(

@@ -441,7 +441,7 @@ def check_relationships(spark, sf_dir):
 
 @query
 def checks_constraints(spark, sf_dir):
-    """Keys, NOT NULLs and foreign keys of the fact and its versioned dimensions."""
+    """Keys, NOT NULLs and foreign keys of the fact, its dimensions and the alerts."""
     customers, accounts, merchants, dates = _dimensions(spark, sf_dir)
     silver = written(D.silver(D.tx(spark, sf_dir)), "silver")
     fact = written(
@@ -459,9 +459,13 @@ def checks_constraints(spark, sf_dir):
         )
         .unionByName(
             checks.run_checks(
-                accounts, "dim_account", checks.version_constraints("account_sk", "account_id")
+                accounts,
+                "dim_account",
+                checks.version_constraints("account_sk", "account_id", "customer_id"),
             )
         )
+        .unionByName(checks.run_checks(merchants, "dim_merchant", checks.merchant_constraints()))
+        .unionByName(checks.run_checks(dates, "dim_date", checks.date_constraints()))
         .unionByName(
             checks.run_checks(alerts, "operational_alerts", checks.alert_constraints())
         )
