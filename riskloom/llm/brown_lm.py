@@ -1,24 +1,26 @@
 """Brown class-based bigram language model, fitted by exchange clustering.
 
-Units are the words with a share of at least 1 / ``UNITS`` of the training tokens, the end
+Units are the words that occur at least ``LEAST`` times in the training documents, the end
 mark, and for all other words ``SHAPES`` groups by their last two bytes. Exchange moves every
-unit to the class under which its neighbours' classes are likeliest, until no move
-helps. The probability of a token is that of its class after the class before it, of its
-unit in the class, and of a rare word in its group; what is unseen shares the discounted
-mass of its group, as one type. Counts cover all training documents; the words of a block
-of documents are looked up by joins, so no table of all words is sent anywhere.
+unit to the class under which its neighbours' classes are likeliest. It starts among the
+words with a share of at least 1 / ``CORE`` of the tokens, until no move helps; all other
+words begin with the class of their shape and then all units move in ``ALL_ROUNDS`` rounds.
+Counts of neighbours are a table dealt out by unit, which the classes of a part of the units
+meet in joins; tasks are sent the class table alone. The probability of a token is that of
+its class after the class before it, of its unit in the class, and of a rare word in its
+group; what is unseen shares the discounted mass of its group, as one type.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.blocks import answered, asked, blocked
@@ -26,10 +28,16 @@ from riskloom.llm.common import fold, slices, words
 from riskloom.session import written
 
 FOLDS, HELD_OUT = 7, 2
-# At most so many words are units of their own, however large the corpus.
-UNITS = 1 << 14
+# Occurrences from which a word is a unit of its own, however large the corpus.
+LEAST = 5
+# At most so many words are clustered first, among themselves and the shapes.
+CORE = 1 << 14
 SHAPES = 256
-CLASSES, ROUNDS = 64, 8
+CLASSES, ROUNDS, ALL_ROUNDS = 64, 8, 2
+# Unit of the end mark, after those of the shapes; words follow.
+END = SHAPES
+# Training tokens for each part that units are dealt to.
+PART_TOKENS = 2_000_000
 DISCOUNT, TRUST = 0.75, 0.98
 # Counts a task holds before it passes them on.
 HELD = 400_000
@@ -55,7 +63,8 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Units(dict):
-    """Unit of a word: its own, or after the end mark the one of its shape."""
+    """Unit of a word in the first clustering: its own, or after the end mark the one of its
+    shape."""
 
     def __init__(self, frequent: list[bytes]):
         super().__init__((w, i) for i, w in enumerate(frequent))
@@ -106,6 +115,20 @@ def _pair_counts(frequent: list[bytes]):
     return counted
 
 
+def _toward(counts: np.ndarray, classes: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Best class of each unit by its counts of left and right classes, and what it gains."""
+    row = table.sum(1)
+    after = np.log(table + 0.5) - np.log(row + 0.5 * CLASSES)[:, None]
+    left, right = counts[:, :CLASSES], counts[:, CLASSES:]
+    score = left @ after + right @ after.T - counts.sum(1)[:, None] / 2 * np.log(row + 1)
+    to, at = score.argmax(1), np.arange(len(counts))
+    return to, score[at, to] - score[at, classes]
+
+
+def _by_turns(unit: np.ndarray, gain: np.ndarray, turn: int) -> np.ndarray:
+    return (gain > 0) & ((turn == 0) | ((unit * 2654435761 >> 7) % 2 == turn % 2))
+
+
 def _context(classes: np.ndarray, of: str):
     """Per-unit counts of neighbouring classes, summed inside a partition that holds all
     rows of its units; then ``of`` gives either class pairs or the best class of each unit."""
@@ -133,17 +156,9 @@ def _context(classes: np.ndarray, of: str):
         yield pa.record_batch([a, b, total[a, b].astype(np.int64)], names=["a", "b", "n"])
 
     def best(table: np.ndarray):
-        row = table.sum(1)
-        after = np.log(table + 0.5) - np.log(row + 0.5 * CLASSES)[:, None]
-        size = np.log(row + 1)
-
         def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             units, counts = gathered(batches)
-            left, right = counts[:, :CLASSES], counts[:, CLASSES:]
-            score = left @ after + right @ after.T - counts.sum(1)[:, None] / 2 * size
-            to = score.argmax(1)
-            at = np.arange(len(units))
-            gain = score[at, to] - score[at, classes[units]]
+            to, gain = _toward(counts, classes[units], table)
             yield pa.record_batch([units, to.astype(np.int64), gain], names=["u", "to", "gain"])
 
         return moved
@@ -195,7 +210,7 @@ def exchange(pairs: DataFrame, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
             _context(classes, "best")(table), "u long, to long, gain double"
         ).toArrow()
         unit, to = moves["u"].to_numpy(), moves["to"].to_numpy()
-        free = (moves["gain"].to_numpy() > 0) & ((turn == 0) | ((unit * 2654435761 >> 7) % 2 == turn % 2))
+        free = _by_turns(unit, moves["gain"].to_numpy(), turn)
         if not free.any() and turn > 1:
             break
         classes = classes.copy()
@@ -206,52 +221,206 @@ def exchange(pairs: DataFrame, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return best, best_table
 
 
-@dataclass
-class Model:
-    frequent: list[bytes]
-    frequent_counts: np.ndarray
-    classes: np.ndarray
-    after: np.ndarray
-    emit: np.ndarray
-    shape_tokens: np.ndarray
-    shape_types: np.ndarray
-    end_count: int
-    tokens: int
-    types: int
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of one length by their bytes' places, so that codecs meet runs of zeros."""
+    return b"".join(c.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for c in columns)
 
-    def scorer(self, found: pa.Table) -> Callable[[str], tuple[int, int, float, float]]:
-        """Function from a text to (n_tokens, n_known, base_score, score).
-
-        ``found`` has the rare words that the texts hold: key, training count n (null if
-        unseen) and shape.
-        """
-        end = len(self.frequent)
-        rare = found["n"].fill_null(0).to_numpy()
-        shape = found["shape"].to_numpy()
-        size, kinds = self.shape_tokens[shape], self.shape_types[shape]
-        mass = np.where(rare > 0, rare - DISCOUNT, DISCOUNT * kinds)
-        own = np.where(size > 0, np.log10(np.where(size > 0, mass, 1) / np.maximum(size, 1)), 0.0)
-        unit = np.concatenate([np.arange(end + 1), shape + end + 1])
-        count = np.concatenate([self.frequent_counts, [self.end_count], rare])
-        emit = self.emit[unit] + np.concatenate([np.zeros(end + 1), own])
-        base = np.log10(count + 1.0) - np.log10(self.tokens + self.types + 1)
-        known, cls = count > 0, self.classes[unit]
-        place = {w: i for i, w in enumerate(self.frequent)}
-        place.update(zip(found["key"].to_pylist(), range(end + 1, len(unit)), strict=True))
-
-        def score(text: str) -> tuple[int, int, float, float]:
-            parts = words(text)
-            if not self.tokens:
-                return len(parts) + 1, 0, 0.0, 0.0
-            ids = np.empty(len(parts) + 1, np.int64)
-            ids[:-1] = np.fromiter(map(place.__getitem__, parts), np.int64, len(parts))
-            ids[-1] = end
-            path = cls[ids]
-            total = float(emit[ids].sum() + self.after[path[:-1], path[1:]].sum())
-            total += float(self.after[cls[end], path[0]])
-            return len(ids), int(known[ids].sum()), float(base[ids].sum()), total
 
-        return score
+def _unpacked(data: bytes, columns: int) -> list[np.ndarray]:
+    planes = np.frombuffer(data, np.uint8).reshape(columns, 4, -1)
+    return [np.ascontiguousarray(p.T).view("<u4").ravel().astype(np.int64) for p in planes]
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(n, first)
+
+
+def _dealt(part: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """The packed rows of each part; inside one they keep their order."""
+    order = np.argsort(part, kind="stable")
+    part, columns = part[order], [c[order] for c in columns]
+    found, starts = np.unique(part, return_index=True)
+    for p, a, b in zip(found.tolist(), starts, [*starts[1:], len(part)], strict=True):
+        yield p, _packed(*(c[a:b] for c in columns))
+
+
+def _neighbours(parts: int):
+    """Neighbour counts in packed rows (neighbour's place in its part, unit, n), dealt by the
+    neighbour; side 1 has those that follow the unit."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, size = [], 0
+
+        def records() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate(codes), return_counts=True)
+            u, v = keys >> 32, keys & 0xFFFFFFFF
+            rows = [(p, 1, d) for p, d in _dealt(v % parts, v // parts, u, n)]
+            rows += [(p, 0, d) for p, d in _dealt(u % parts, u // parts, v, n)]
+            part, side, data = zip(*rows, strict=True)
+            return pa.record_batch(
+                [pa.array(part, pa.int32()), pa.array(side, pa.int32()), pa.array(data, pa.binary())],
+                names=["part", "side", "data"],
+            )
+
+        for batch in slices(batches, 64):
+            for data in batch["units"]:
+                ids = np.concatenate([[END], np.frombuffer(data.as_py(), "<u4").astype(np.int64)])
+                codes.append(ids[:-1] << 32 | ids[1:])
+                size += len(ids)
+            if size > 4 * HELD:
+                yield records()
+                codes, size = [], 0
+        if codes:
+            yield records()
+
+    return counted
+
+
+def _by_class(parts: int):
+    """Counts of neighbours' classes in packed rows (unit's place, side and class, n), dealt by
+    the unit."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, size = [], [], 0
+
+        def records() -> pa.RecordBatch:
+            key, n = _summed(np.concatenate(keys), np.concatenate(counts))
+            unit, cell = key // (2 * CLASSES), key % (2 * CLASSES)
+            part, data = zip(*_dealt(unit % parts, unit // parts, cell, n), strict=True)
+            return pa.record_batch(
+                [pa.array(part, pa.int32()), pa.array(data, pa.binary())], names=["part", "data"]
+            )
+
+        for batch in batches:
+            for side, data, classes in zip(batch["side"], batch["data"], batch["classes"], strict=True):
+                near, unit, n = _unpacked(data.as_py(), 3)
+                cell = side.as_py() * CLASSES + np.frombuffer(classes.as_py(), np.uint8)[near]
+                keys.append(unit * (2 * CLASSES) + cell)
+                counts.append(n)
+                size += len(n)
+                if size > 4 * HELD:
+                    yield records()
+                    keys, counts, size = [], [], 0
+        if keys:
+            yield records()
+
+    return counted
+
+
+def _gathered(context: pa.Table, state: pa.Table) -> pa.Table:
+    """State of a part with the counts of its units by side and class of neighbour."""
+    if not state.num_rows:
+        return pa.table({"part": [], "classes": [], "size": [], "counts": []}, _STATE)
+    width = 2 * CLASSES
+    cells = len(state["classes"][0].as_py()) * width
+    total = np.zeros(cells)
+    for data in context["data"]:
+        unit, cell, n = _unpacked(data.as_py(), 3)
+        total += np.bincount(unit * width + cell, n, minlength=cells)
+    at = np.flatnonzero(total)
+    return state.append_column("counts", [pa.array([_packed(at, total[at])], pa.binary())]).cast(_STATE)
+
+
+_STATE = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("classes", "size", "counts"))])
+
+
+def _states(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[tuple]:
+    """Part, units, classes, sizes, and counts by side and class, of each row."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            part = batch["part"][row].as_py()
+            classes = np.frombuffer(batch["classes"][row].as_py(), np.uint8).astype(np.int64)
+            size = np.frombuffer(batch["size"][row].as_py(), "<i8")
+            counts = np.zeros(len(classes) * 2 * CLASSES)
+            at, n = _unpacked(batch["counts"][row].as_py(), 2)
+            counts[at] = n
+            unit = np.arange(len(classes)) * parts + part
+            yield part, unit, classes, size, counts.reshape(-1, 2 * CLASSES)
+
+
+def _state_of(units: DataFrame, parts: int) -> DataFrame:
+    """(part, classes, size) of ``units`` (unit, class, n): arrays by a unit's place in its part."""
+
+    def packed(rows: pa.Table) -> pa.Table:
+        unit = rows["unit"].to_numpy()
+        classes = np.zeros(unit.max() // parts + 1, np.uint8)
+        size = np.zeros(len(classes), "<i8")
+        classes[unit // parts] = rows["class"].to_numpy()
+        size[unit // parts] = rows["n"].to_numpy()
+        return pa.table(
+            {
+                "part": pa.array([unit[0] % parts], pa.int32()),
+                "classes": pa.array([classes.tobytes()], pa.binary()),
+                "size": pa.array([size.tobytes()], pa.binary()),
+            }
+        )
+
+    schema = "part int, classes binary, size binary"
+    return written(units.groupBy(F.col("unit") % parts).applyInArrow(packed, schema), "classes")
+
+
+def exchange_all(pairs: DataFrame, state: DataFrame, parts: int) -> tuple[DataFrame, np.ndarray]:
+    """State and class bigram counts after moves of all units, the likeliest met.
+
+    ``pairs`` are rows of ``_neighbours``. The driver and the tasks hold the table of
+    classes, and tasks the units of a part.
+    """
+    spark = pairs.sparkSession
+
+    def met(state: DataFrame) -> tuple[DataFrame, np.ndarray]:
+        context = (
+            pairs.join(state.select("part", "classes"), "part")
+            .select("side", "data", "classes")
+            .mapInArrow(_by_class(parts), "part int, data binary")
+        )
+        full = written(
+            context.groupBy("part")
+            .cogroup(state.groupBy("part"))
+            .applyInArrow(_gathered, "part int, classes binary, size binary, counts binary"),
+            "contexts",
+        )
+
+        def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((CLASSES, CLASSES))
+            for _, _, classes, _, counts in _states(batches, parts):
+                np.add.at(total, classes, counts[:, CLASSES:])
+            a, b = np.nonzero(total)
+            yield pa.record_batch([a, b, total[a, b].astype(np.int64)], names=["a", "b", "n"])
+
+        rows = full.mapInArrow(tables, "a long, b long, n long")
+        found = rows.groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
+        table = np.zeros((CLASSES, CLASSES))
+        table[found["a"].to_numpy(), found["b"].to_numpy()] = found["n"].to_numpy()
+        spark.sparkContext._jvm.System.gc()  # lets Spark delete the shuffle files of this round
+        return full, table
+
+    def moved(full: DataFrame, table: np.ndarray, turn: int) -> DataFrame:
+        def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part, unit, classes, size, counts in _states(batches, parts):
+                to, gain = _toward(counts, classes, table)
+                classes = np.where(_by_turns(unit, gain, turn), to, classes).astype(np.uint8)
+                yield pa.record_batch(
+                    [
+                        pa.array([part], pa.int32()),
+                        pa.array([classes.tobytes()], pa.binary()),
+                        pa.array([size.tobytes()], pa.binary()),
+                    ],
+                    names=["part", "classes", "size"],
+                )
+
+        return written(full.mapInArrow(move, "part int, classes binary, size binary"), "classes")
+
+    full, table = met(state)
+    best, best_table, reached = state, table, _likelihood(table)
+    for turn in range(ALL_ROUNDS):
+        state = moved(full, table, turn)
+        full, table = met(state)
+        if (value := _likelihood(table)) > reached:
+            best, best_table, reached = state, table, value
+    return best, best_table
 
 
 def _shape() -> Column:
@@ -259,16 +428,22 @@ def _shape() -> Column:
     return (F.crc32(F.substring("key", -2, 2)) % SHAPES).cast("int")
 
 
-def fit(docs: DataFrame, vocabulary: DataFrame, n_docs: int) -> Model:
-    """Model of the training documents ``docs`` whose word counts are ``vocabulary`` (key, n)."""
+@dataclass
+class Totals:
+    """Sizes of the training documents; tokens and types of the rare words of each shape."""
+
+    n_docs: int
+    tokens: int
+    types: int
+    shape_tokens: np.ndarray
+    shape_types: np.ndarray
+
+
+def totals(vocabulary: DataFrame, n_docs: int) -> Totals:
+    """Totals of training documents whose word counts are ``vocabulary`` (key, n)."""
     total = vocabulary.agg(F.sum("n").alias("n"), F.count("*").alias("types")).first()
-    tokens, types = int(total["n"] or 0) + n_docs, int(total["types"]) + (n_docs > 0)
-    # a share of 1 / UNITS each: no more than UNITS words
-    chosen = vocabulary.where(F.col("n") * UNITS >= tokens).orderBy(F.desc("n"), "key").toArrow()
-    frequent, counts = chosen["key"].to_pylist(), chosen["n"].to_numpy()
-    end = len(frequent)
     rare = (
-        vocabulary.where(F.col("n") * UNITS < tokens)
+        vocabulary.where(F.col("n") < LEAST)
         .groupBy(_shape().alias("shape"))
         .agg(F.sum("n").alias("n"), F.count("*").alias("types"))
         .toArrow()
@@ -276,7 +451,32 @@ def fit(docs: DataFrame, vocabulary: DataFrame, n_docs: int) -> Model:
     shape_tokens, shape_types = np.zeros(SHAPES), np.zeros(SHAPES)
     shape_tokens[rare["shape"].to_numpy()] = rare["n"].to_numpy()
     shape_types[rare["shape"].to_numpy()] = rare["types"].to_numpy()
-    size = np.concatenate([counts, [n_docs], shape_tokens]).astype(np.float64)
+    tokens, types = int(total["n"] or 0) + n_docs, int(total["types"]) + (n_docs > 0)
+    return Totals(n_docs, tokens, types, shape_tokens, shape_types)
+
+
+def lexicon(vocabulary: DataFrame, parts: int) -> DataFrame:
+    """(key, n, unit) of all words of ``vocabulary``."""
+    part = F.pmod(F.xxhash64("key"), F.lit(parts))
+    rank = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("n"), "key"))
+    own = vocabulary.where(F.col("n") >= LEAST).withColumn("part", part)
+    own = own.select("key", "n", (END + 1 + (rank - 1).cast("long") * parts + F.col("part")).alias("unit"))
+    rest = vocabulary.where(F.col("n") < LEAST).select("key", "n", _shape().cast("long").alias("unit"))
+    return written(own.unionByName(rest), "units")
+
+
+def first_classes(docs: DataFrame, words_of: DataFrame, total: Totals) -> DataFrame:
+    """(unit, class, n) of all units, after exchange among the most frequent words and the
+    shapes of all others."""
+    core = F.col("n") * CORE >= total.tokens
+    own = F.col("unit") > END
+    chosen = words_of.where(core & own).orderBy(F.desc("n"), "key").toArrow()
+    frequent, counts = chosen["key"].to_pylist(), chosen["n"].to_numpy()
+    rest = (
+        words_of.where(~(core & own)).groupBy(_shape().alias("shape")).agg(F.sum("n").alias("n")).toArrow()
+    )
+    size = np.concatenate([counts, [total.n_docs], np.zeros(SHAPES)]).astype(np.float64)
+    size[len(frequent) + 1 + rest["shape"].to_numpy()] = rest["n"].to_numpy()
     pairs = written(
         docs.select("text")
         .mapInArrow(_pair_counts(frequent), "u long, v long, n long")
@@ -284,17 +484,98 @@ def fit(docs: DataFrame, vocabulary: DataFrame, n_docs: int) -> Model:
         .agg(F.sum("n").alias("n")),
         "pairs",
     )
-    classes, table = exchange(pairs, size)
-    per_class = np.bincount(classes, size, minlength=CLASSES)
-    members = np.bincount(classes, minlength=CLASSES)
-    emit = np.log10((size + 0.5) / (per_class + 0.5 * members)[classes])
-    alone = (per_class + 0.5) / (per_class.sum() + 0.5 * CLASSES)
-    row = table.sum(1, keepdims=True)
-    after = np.where(row > 0, TRUST * table / np.maximum(row, 1) + (1 - TRUST) * alone, alone)
-    return Model(
-        frequent, counts, classes, np.log10(after), emit, shape_tokens, shape_types,
-        n_docs, tokens, types,
-    )
+    classes, _ = exchange(pairs, size)
+    spark = words_of.sparkSession
+    end = len(frequent)
+    shapes = classes[end + 1 :].tolist()
+    fixed = spark.createDataFrame(
+        [(s, c, int(total.shape_tokens[s])) for s, c in enumerate(shapes)]
+        + [(END, int(classes[end]), total.n_docs)],
+        "unit long, class int, n long",
+    )
+    found = spark.createDataFrame(
+        list(zip(chosen["unit"].to_pylist(), classes[:end].tolist(), strict=True)),
+        "unit long, first int",
+    )
+    of_shape = F.element_at(F.array(*map(F.lit, shapes)), _shape() + 1)
+    own_words = words_of.where(own).join(F.broadcast(found), "unit", "left")
+    return own_words.select("unit", F.coalesce("first", of_shape).cast("int").alias("class"), "n").unionByName(
+        fixed
+    )
+
+
+def _encoder(total: Totals):
+    """Function from a block's texts and the words they hold (key, n, unit) to what classes
+    don't change, and the texts as units."""
+
+    def encode(block: pa.Table, found: pa.Table) -> pa.Table:
+        n, unit = found["n"].fill_null(0).to_numpy(), found["unit"].to_numpy()
+        shape = np.minimum(unit, SHAPES - 1)
+        size, kinds = total.shape_tokens[shape], total.shape_types[shape]
+        mass = np.where(n > 0, n - DISCOUNT, DISCOUNT * kinds)
+        rare = (unit < END) & (size > 0)
+        own = np.where(rare, np.log10(np.where(rare, mass, 1) / np.maximum(size, 1)), 0.0)
+        unit, n = np.append(unit, END), np.append(n, total.n_docs)
+        own = np.append(own, 0.0)
+        base = np.log10(n + 1.0) - np.log10(total.tokens + total.types + 1)
+        place = {w: i for i, w in enumerate(found["key"].to_pylist())}
+        results = []
+        for text in block["text"]:
+            parts = words(text.as_py())
+            ids = np.empty(len(parts) + 1, np.int64)
+            ids[:-1] = np.fromiter(map(place.__getitem__, parts), np.int64, len(parts))
+            ids[-1] = len(unit) - 1
+            results.append(
+                (
+                    len(ids),
+                    int((n[ids] > 0).sum()),
+                    float(base[ids].sum()),
+                    float(own[ids].sum()),
+                    unit[ids].astype("<u4").tobytes(),
+                )
+            )
+        columns = list(zip(*results, strict=True)) or [[]] * 5
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
+        out = block.select(["block", "doc_id", "held_out"])
+        for name, column, kind in zip(_ENCODED, columns, kinds, strict=True):
+            out = out.append_column(name, pa.array(column, kind))
+        return out
+
+    return encode
+
+
+_ENCODED = ("n_tokens", "n_known", "base_score", "own", "units")
+_ENCODED_SCHEMA = "block int, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, own double, units binary"
+
+
+def _asked_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct (block, unit)."""
+    wanted: dict[int, np.ndarray] = {}
+    for batch in slices(batches):
+        held: dict[int, list] = {}
+        for block, data in zip(batch["block"].to_pylist(), batch["units"], strict=True):
+            held.setdefault(block, []).append(np.frombuffer(data.as_py(), "<u4"))
+        for block, ids in held.items():
+            wanted[block] = np.unique(np.concatenate([wanted.get(block, ids[0][:0]), *ids]))
+    for block, ids in wanted.items():
+        yield pa.record_batch(
+            [pa.array([block] * len(ids), pa.int32()), ids.astype(np.int64)], names=["block", "unit"]
+        )
+
+
+def _listed(parts: int):
+    """(unit, class, n) rows of states."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, classes, size in zip(batch["part"], batch["classes"], batch["size"], strict=True):
+                classes = np.frombuffer(classes.as_py(), np.uint8).astype(np.int32)
+                unit = np.arange(len(classes)) * parts + part.as_py()
+                size = np.frombuffer(size.as_py(), "<i8")
+                used = (size > 0) | (unit <= END)  # numbers that no word has are left out
+                yield pa.record_batch([unit[used], classes[used], size[used]], names=["unit", "class", "n"])
+
+    return listed
 
 
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -314,32 +595,56 @@ def scored(docs: DataFrame) -> DataFrame:
         train.mapInArrow(_word_counts, "key binary, n long").groupBy("key").agg(F.sum("n").alias("n")),
         "words",
     )
-    model = fit(train, vocabulary, train.count())
+    total = totals(vocabulary, train.count())
+    # odd, so that units of one shape or rank spread
+    parts = max(16, total.tokens // PART_TOKENS) | 1
+    words_of = lexicon(vocabulary, parts)
+    state = _state_of(first_classes(train, words_of, total), parts)
     rows, blocks = blocked(
         docs.withColumn("held_out", held_out).withColumn("doc_id", F.col("doc_id").cast("long")),
         "doc_id",
         "held_out",
     )
-    frequent = frozenset(model.frequent)
-    need = asked(rows, blocks, lambda t: set(words(t)).difference(frequent), "binary", pa.binary())
-    answers = need.join(vocabulary, "key", "left").select("block", "key", "n", _shape().alias("shape"))
+    need = asked(rows, blocks, lambda t: set(words(t)), "binary", pa.binary())
+    answers = need.join(words_of, "key", "left").select(
+        "block", "key", "n", F.coalesce("unit", _shape().cast("long")).alias("unit")
+    )
+    encoded = written(answered(rows, answers, _encoder(total), _ENCODED_SCHEMA), "encoded")
+    del rows, need, answers
+    docs.sparkSession.sparkContext._jvm.System.gc()  # lets Spark delete the shuffled texts
+    pairs = written(
+        encoded.where(~F.col("held_out")).select("units").mapInArrow(
+            _neighbours(parts), "part int, side int, data binary"
+        ),
+        "neighbours",
+    )
+    state, table = exchange_all(pairs, state, parts)
+    units = state.mapInArrow(_listed(parts), "unit long, class int, n long")
+    of = units.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("members")).toArrow()
+    per_class, members = np.zeros(CLASSES), np.zeros(CLASSES)
+    per_class[of["class"].to_numpy()] = of["n"].to_numpy()
+    members[of["class"].to_numpy()] = of["members"].to_numpy()
+    alone = (per_class + 0.5) / (per_class.sum() + 0.5 * CLASSES)
+    row = table.sum(1, keepdims=True)
+    after = np.log10(np.where(row > 0, TRUST * table / np.maximum(row, 1) + (1 - TRUST) * alone, alone))
+    spread = np.log10(per_class + 0.5 * members + (members == 0))
 
     def score(block: pa.Table, found: pa.Table) -> pa.Table:
-        of = model.scorer(found)
-        results = [of(t.as_py()) for t in block["text"]]
-        columns = list(zip(*results, strict=True)) or [[], [], [], []]
-        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-        n, met, base, total = (pa.array(c, k) for c, k in zip(columns, kinds, strict=True))
-        return pa.table(
-            {
-                "doc_id": block["doc_id"],
-                "held_out": block["held_out"],
-                "n_tokens": n,
-                "n_known": met,
-                "train_tokens": pa.array([model.tokens] * block.num_rows, pa.int64()),
-                "base_score": base,
-                "score": total,
-            }
-        )
-
-    return answered(rows, answers, score, SCHEMA)
+        order = np.argsort(found["unit"].to_numpy())
+        unit, cls, n = (found[c].to_numpy()[order] for c in ("unit", "class", "n"))
+        emit = np.log10(n + 0.5) - spread[cls]
+        first = cls[np.searchsorted(unit, END)] if len(unit) else 0
+        scores = []
+        for data, own in zip(block["units"], block["own"].to_pylist(), strict=True):
+            at = np.searchsorted(unit, np.frombuffer(data.as_py(), "<u4"))
+            path = np.concatenate([[first], cls[at]])
+            scores.append(float(emit[at].sum() + after[path[:-1], path[1:]].sum()) + own)
+        trained = total.tokens > 0
+        out = block.select(["doc_id", "held_out", "n_tokens", "n_known"])
+        out = out.append_column("train_tokens", pa.array([total.tokens] * len(scores), pa.int64()))
+        base = block["base_score"] if trained else pa.array([0.0] * len(scores), pa.float64())
+        out = out.append_column("base_score", base)
+        return out.append_column("score", pa.array([s * trained for s in scores], pa.float64()))
+
+    wanted = encoded.select("block", "units").mapInArrow(_asked_units, "block int, unit long")
+    return answered(encoded, wanted.join(units, "unit"), score, SCHEMA)

@@ -375,6 +375,31 @@ def test_class_model_sums_to_one():
     assert np.allclose(np.bincount(classes, emit, brown_lm.CLASSES), 1)
 
 
+def test_words_below_any_share_get_classes_of_their_own(spark):
+    # six words in 160,000 tokens, all of one suffix; what stands around them tells them apart
+    rows = [(i, " ".join(["ga ma"] * 2000)) for i in range(40)]
+    for i in range(40, 46):
+        rows.append((i, "ga xzz ga xzz ga yzz yzz ma yzz ma yzz"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    parts = docs.select(F.explode(F.split("text", " ")).alias("key"))
+    vocabulary = parts.groupBy(F.col("key").cast("binary").alias("key")).agg(F.count("*").alias("n"))
+    total = brown_lm.totals(vocabulary, len(rows))
+    words_of = brown_lm.lexicon(vocabulary, 17)
+    unit = {bytes(r.key): r.unit for r in words_of.collect()}
+    assert len({unit[w] for w in (b"xzz", b"yzz", b"ga", b"ma")}) == 4 and min(unit.values()) > brown_lm.END
+    state = brown_lm._state_of(brown_lm.first_classes(docs, words_of, total), 17)
+    texts = [[unit[w] for w in t.encode().split()] + [brown_lm.END] for _, t in rows]
+    packed = [(bytearray(np.array(t, "<u4").tobytes()),) for t in texts]
+    pairs = spark.createDataFrame(packed, "units binary").mapInArrow(
+        brown_lm._neighbours(17), "part int, side int, data binary"
+    )
+    state, table = brown_lm.exchange_all(pairs, state, 17)
+    of = {r.unit: r["class"] for r in state.mapInArrow(brown_lm._listed(17), "unit long, class int, n long").collect()}
+    want = Counter((of[a], of[b]) for t in texts for a, b in zip([brown_lm.END, *t], t, strict=False))
+    assert {(a, b): int(table[a, b]) for a, b in zip(*np.nonzero(table), strict=True)} == want
+    assert of[unit[b"xzz"]] != of[unit[b"yzz"]]
+
+
 def _comparable(rows):
     return sorted(map(repr, rows))
 
