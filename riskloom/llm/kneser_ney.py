@@ -1,69 +1,145 @@
-"""Quality by an interpolated modified Kneser-Ney model of byte n-grams.
+"""Quality by an interpolated modified Kneser-Ney model of word n-grams.
 
-The model is trained on trusted text: documents that labels call good. Counts are tables
-sharded by n-gram; a block of documents asks for its distinct n-grams, joins with the
-shards answer with log probabilities, and each document gets its perplexity. A document is
-kept if its perplexity is at most the threshold of its language, a quantile of the
-trusted documents of that language with some slack.
+The model is trained on trusted text: documents that labels call good, but for one part in
+``FOLDS``. Counts are tables sharded by n-gram, whose size follows the text; a block of
+documents asks for its distinct n-grams, joins with the shards answer with log probabilities,
+and each document gets its perplexity. A document is kept if its perplexity is at most the
+threshold of its language, a quantile of the trusted documents of that language that were
+left out of training. Units can be bytes as well.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.blocks import answered, asked, blocked
-from riskloom.llm.common import encoded, slices
+from riskloom.llm.blocks import answered, blocked
+from riskloom.llm.common import encoded, fold, slices, words
 from riskloom.session import written
 
-ORDER = 4
-QUANTILE, SLACK = 0.995, 1.1
+QUANTILE = 0.995
+# Trusted documents whose id's crc32 modulo 10 is 0 set the thresholds.
+FOLDS, HELD_OUT = 10, 0
 # Ids that may be broadcast; more of them are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
-# N-grams a task holds before it sums them, and bytes of a text taken at once.
-HELD, CHUNK = 2_000_000, 1 << 20
-_START = b"\x02" * (ORDER - 1)
-
-
-def grams(text: str | None) -> Iterator[np.ndarray]:
-    """Codes of the n-grams that end at each byte of the text, in pieces."""
-    data = _START + encoded(text)
-    for start in range(0, len(data) - ORDER + 1, CHUNK):
-        b = np.frombuffer(data, np.uint8, min(CHUNK + ORDER - 1, len(data) - start), start)
-        b = b.astype(np.int64)
-        n = len(b) - ORDER + 1
-        code = b[:n].copy()
-        for k in range(1, ORDER):
-            code = (code << 8) | b[k : k + n]
-        yield code
-
-
-def _distinct(text: str) -> list[int]:
-    parts = [np.unique(c) for c in grams(text)]
-    return np.unique(np.concatenate(parts)).tolist() if parts else []
-
-
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
-
-    def record() -> pa.RecordBatch:
-        keys, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.record_batch([keys, n], names=["gram", "n"])
-
-    for batch in slices(batches, 64):
-        for text in batch["text"]:
-            for code in grams(text.as_py()):
-                held.append(code)
-                size += len(code)
-        if size > HELD:
+# N-grams a task holds before it sums them, and units of a text taken at once.
+HELD, CHUNK = 1_000_000, 1 << 20
+# Words whose numbers a task remembers; only speed depends on it.
+CACHED = 500_000
+
+
+class _Numbers(dict):
+    """64 bits of a hash of a word."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > CACHED:
+            self.clear()
+        n = int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
+        self[word] = n
+        return n
+
+
+_NUMBERS = _Numbers()
+
+
+@dataclass(frozen=True)
+class Units:
+    """What n-grams are made of; ``base`` is the number of units, None if it is counted."""
+
+    order: int
+    of_bytes: bool
+    base: int | None
+
+    @property
+    def columns(self) -> list[str]:
+        return [f"g{k}" for k in range(1, self.order + 1)]
+
+    def grams(self, text: str | None) -> Iterator[list[np.ndarray]]:
+        """Columns of the n-grams that end at each unit of the text, in pieces."""
+        if self.of_bytes:
+            units = np.frombuffer(encoded(text), np.uint8).astype(np.int64)
+        else:
+            parts = words(text)
+            units = np.fromiter(map(_NUMBERS.__getitem__, parts), np.int64, len(parts))
+        data = np.concatenate([np.full(self.order - 1, 2, np.int64), units])
+        for start in range(0, len(units), CHUNK):
+            n = min(CHUNK, len(units) - start)
+            yield [data[start + k : start + k + n] for k in range(self.order)]
+
+    def keys(self, columns: list[np.ndarray]) -> np.ndarray:
+        """One number for each n-gram: its bytes, or a hash."""
+        out = columns[0].view(np.uint64) if not self.of_bytes else columns[0]
+        for c in columns[1:]:
+            if self.of_bytes:
+                out = (out << 8) | c
+            else:
+                out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + c.view(np.uint64)
+        return out if self.of_bytes else out.view(np.int64)
+
+
+BYTES = Units(4, True, 256)
+WORDS = Units(3, False, None)
+
+
+def _summed(units: Units, pieces: list[list[np.ndarray]]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Distinct keys, their columns and counts."""
+    columns = [np.concatenate(c) for c in zip(*pieces, strict=True)]
+    keys, first, n = np.unique(units.keys(columns), return_index=True, return_counts=True)
+    return keys, [c[first] for c in columns], n
+
+
+def _counts(units: Units):
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def record() -> pa.RecordBatch:
+            _, columns, n = _summed(units, held)
+            return pa.record_batch([*columns, n], names=[*units.columns, "n"])
+
+        for batch in slices(batches, 64):
+            for text in batch["text"]:
+                for piece in units.grams(text.as_py()):
+                    held.append(piece)
+                    size += len(piece[0])
+            if size > HELD:
+                yield record()
+                held, size = [], 0
+        if held:
             yield record()
-            held, size = [], 0
-    if held:
-        yield record()
+
+    return counted
+
+
+def _asked(units: Units):
+    """Distinct n-grams of each block, with their keys."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted: dict[int, list] = {}
+        sizes: dict[int, int] = {}
+        for batch in slices(batches, 64):
+            for block, text in zip(batch["block"].to_pylist(), batch["text"], strict=True):
+                for piece in units.grams(text.as_py()):
+                    wanted.setdefault(block, []).append(piece)
+                    sizes[block] = sizes.get(block, 0) + len(piece[0])
+                if sizes.get(block, 0) > HELD:
+                    _, columns, _ = _summed(units, wanted[block])
+                    wanted[block] = [columns]
+                    # sums again when as many more have come
+                    sizes[block] = 0
+        for block, pieces in wanted.items():
+            keys, columns, _ = _summed(units, pieces)
+            yield pa.record_batch(
+                [pa.array([block] * len(keys), pa.int32()), keys, *columns],
+                names=["block", "key", *units.columns],
+            )
+
+    return ask
 
 
 def _discounts(level: DataFrame) -> list[float]:
@@ -78,74 +154,73 @@ def _discounts(level: DataFrame) -> list[float]:
     return out
 
 
-def levels(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+def levels(counts: DataFrame, units: Units) -> list[tuple[DataFrame, DataFrame]]:
     """For each order from 1 on: grams with their discounted counts, and contexts with their
     totals and the weight of the order below. Below the highest order the count of a gram is
-    the number of distinct bytes before it."""
+    the number of distinct units before it."""
     tables, level = [], counts
-    for order in range(ORDER, 0, -1):
+    for order in range(units.order, 0, -1):
+        names = units.columns[units.order - order :]
         d = _discounts(level)
         off = F.element_at(F.array(*map(F.lit, d)), F.least("n", F.lit(3)).cast("int"))
-        context = F.shiftright("gram", 8)
         kinds = [F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2), F.count_if(F.col("n") > 2)]
         left = sum((F.lit(x) * k for x, k in zip(d, kinds, strict=True)), F.lit(0.0))
         tables.append(
             (
-                level.select(
-                    F.col("gram").alias(f"gram{order}"), (F.col("n") - off).alias(f"count{order}")
-                ),
-                level.groupBy(context.alias(f"context{order}")).agg(
-                    F.sum("n").alias(f"total{order}"), (left / F.sum("n")).alias(f"below{order}")
+                level.select(*names, (F.col("n") - off).alias("count")),
+                level.groupBy(*names[:-1]).agg(
+                    F.sum("n").alias("total"), (left / F.sum("n")).alias("below")
                 ),
             )
         )
-        shorter = (1 << 8 * (order - 1)) - 1
-        level = written(
-            level.groupBy(F.col("gram").bitwiseAND(F.lit(shorter)).alias("gram")).agg(
-                F.count("*").alias("n")
-            ),
-            f"order{order - 1}",
-        )
+        if order > 1:
+            level = written(level.groupBy(*names[1:]).agg(F.count("*").alias("n")), f"order{order - 1}")
     return tables[::-1]
 
 
-def log_probability(wanted: DataFrame, counts: DataFrame) -> DataFrame:
-    """(key, logp) of the distinct n-grams ``wanted`` (key), natural logarithm."""
-    out, p = wanted.select("key"), F.lit(1 / 256)
-    for order, (gram, context) in enumerate(levels(counts), 1):
-        code = F.col("key").bitwiseAND(F.lit((1 << 8 * order) - 1))
-        if order <= 2:  # at most 65,536 grams
-            gram, context = F.broadcast(gram), F.broadcast(context)
-        out = out.join(gram, code == F.col(f"gram{order}"), "left")
-        out = out.join(context, F.shiftright(code, 8) == F.col(f"context{order}"), "left")
-        p = _interpolated(p, order)
-        out = out.select("key", p.alias("p"))
+def log_probability(wanted: DataFrame, counts: DataFrame, units: Units) -> DataFrame:
+    """(key, logp) of the distinct n-grams ``wanted`` (key and columns), natural logarithm.
+
+    The lowest order interpolates with equal shares for all units and, of words, an unseen one.
+    """
+    tables = levels(counts, units)
+    base = units.base or tables[0][0].count() + 1
+    out, p = wanted, F.lit(1 / base)
+    for order, (gram, context) in enumerate(tables, 1):
+        names = units.columns[units.order - order :]
+        out = out.join(gram, names, "left")
+        out = out.join(context, names[:-1], "left") if order > 1 else out.join(F.broadcast(context))
+        out = out.select("key", *units.columns, _interpolated(p).alias("p"))
         p = F.col("p")
     return out.select("key", F.log(p).alias("logp"))
 
 
-def _interpolated(lower: Column, order: int) -> Column:
+def _interpolated(lower: Column) -> Column:
     """A context that was never seen leaves all to the order below."""
-    total = F.col(f"total{order}")
-    mine = F.coalesce(F.col(f"count{order}"), F.lit(0.0)) / total
-    return F.when(total.isNull(), lower).otherwise(mine + F.col(f"below{order}") * lower)
-
-
-def _perplexities(block: pa.Table, found: pa.Table) -> pa.Table:
-    keys, logp = found["key"].to_numpy(), found["logp"].to_numpy()
-    order = np.argsort(keys)
-    keys, logp = keys[order], logp[order]
-    sums, sizes = [], []
-    for text in block["text"]:
-        total, size = 0.0, 0
-        for code in grams(text.as_py()):
-            total += float(logp[np.searchsorted(keys, code)].sum())
-            size += len(code)
-        sums.append(total)
-        sizes.append(size)
-    out = block.select(["doc_id", "lang", "trusted"])
-    out = out.append_column("n_bytes", pa.array(sizes, pa.int64()))
-    return out.append_column("log_likelihood", pa.array(sums, pa.float64()))
+    mine = F.coalesce("count", F.lit(0.0)) / F.col("total")
+    return F.when(F.col("total").isNull(), lower).otherwise(mine + F.col("below") * lower)
+
+
+def _likelihoods(units: Units):
+    def scored(block: pa.Table, found: pa.Table) -> pa.Table:
+        keys, logp = found["key"].to_numpy(), found["logp"].to_numpy()
+        order = np.argsort(keys)
+        keys, logp = keys[order], logp[order]
+        sums, sizes, n_bytes = [], [], []
+        for text in block["text"]:
+            total, size = 0.0, 0
+            for piece in units.grams(text.as_py()):
+                total += float(logp[np.searchsorted(keys, units.keys(piece))].sum())
+                size += len(piece[0])
+            sums.append(total)
+            sizes.append(size)
+            n_bytes.append(len(encoded(text.as_py())))
+        out = block.select(["doc_id", "lang", "trusted", "trained"])
+        out = out.append_column("n_bytes", pa.array(n_bytes, pa.int64()))
+        out = out.append_column("n_units", pa.array(sizes, pa.int64()))
+        return out.append_column("log_likelihood", pa.array(sums, pa.float64()))
+
+    return scored
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -160,42 +235,51 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def judged(docs: DataFrame, labels: DataFrame, units: Units = BYTES) -> DataFrame:
     """Per row: doc_id, lang, n_bytes, perplexity, threshold, kept.
 
-    Texts without bytes have no perplexity and are not kept. Languages without trusted
-    documents, and rows without one, go by the quantile of all trusted documents; without
-    any, every text with bytes is kept. Repeated rows give repeated rows; other columns are
-    not carried; an empty table gives no rows.
+    The perplexity is that of a unit. Texts without units have none and are not kept. Trusted
+    documents of one part of the ids are not learned from and set the thresholds. Languages
+    without any of them, and rows without a language, go by all of them; if there are none at
+    all, the trusted documents that were learned from serve, and without any of these every
+    text with units is kept. Repeated rows give repeated rows; other columns are not carried;
+    an empty table gives no rows.
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string"), "text"
     ).join(trusted_ids(labels), "doc_id", "left")
     rows = rows.withColumn("trusted", F.col("trusted").isNotNull())
+    rows = rows.withColumn("trained", F.col("trusted") & (fold("doc_id", FOLDS) != HELD_OUT))
+    longs = ", ".join(f"{c} long" for c in units.columns)
     counts = written(
-        rows.where("trusted and text is not null")
+        rows.where("trained and text is not null")
         .select("text")
-        .mapInArrow(_counts, "gram long, n long")
-        .groupBy("gram")
+        .mapInArrow(_counts(units), f"{longs}, n long")
+        .groupBy(*units.columns)
         .agg(F.sum("n").alias("n")),
         "grams",
     )
-    dealt, blocks = blocked(rows, "doc_id", "lang", "trusted")
-    need = asked(dealt, blocks, _distinct, "long", pa.int64())
-    # with both columns in use this reads the exchange that the join below reads
-    wanted = need.groupBy("key").agg(F.min("block").alias("block")).where("block >= 0")
-    answers = need.join(log_probability(wanted, counts), "key")
+    dealt, blocks = blocked(rows, "doc_id", "lang", "trusted", "trained")
+    need = dealt.mapInArrow(_asked(units), f"block int, key long, {longs}").repartition(blocks, "key")
+    first = [F.min(c).alias(c) for c in units.columns]
+    # with all columns in use this reads the exchange that the join below reads
+    wanted = need.groupBy("key").agg(*first, F.min("block").alias("block")).where("block >= 0")
+    wanted = wanted.select("key", *units.columns)
+    answers = need.join(log_probability(wanted, counts, units), "key").select("block", "key", "logp")
     scored = written(
         answered(
             dealt,
             answers,
-            _perplexities,
-            "doc_id long, lang string, trusted boolean, n_bytes long, log_likelihood double",
-        ).withColumn("perplexity", F.expr("if(n_bytes > 0, exp(-log_likelihood / n_bytes), null)")),
+            _likelihoods(units),
+            "doc_id long, lang string, trusted boolean, trained boolean, n_bytes long, n_units long, log_likelihood double",
+        ).withColumn("perplexity", F.expr("if(n_units > 0, exp(-log_likelihood / n_units), null)")),
         "perplexities",
     )
-    limit = (F.percentile_approx("perplexity", QUANTILE, 10_000) * SLACK).alias("threshold")
+    limit = F.percentile_approx("perplexity", QUANTILE, 10_000).alias("threshold")
     good = scored.where("trusted and perplexity is not null")
+    left_out = good.where("not trained")
+    if not left_out.isEmpty():
+        good = left_out
     by_lang = good.where("lang is not null").groupBy("lang").agg(limit)
     overall = good.agg(limit).first()["threshold"]
     return (

@@ -42,7 +42,8 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kneser_ney.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    docs = table(spark, sf_dir, "documents")
+    return kneser_ney.judged(docs, table(spark, sf_dir, "labels"), kneser_ney.WORDS)
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

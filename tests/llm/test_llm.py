@@ -347,6 +347,31 @@ def test_perplexity_by_brute_force(spark):
         assert found[i] is None if not logs else math.isclose(found[i], math.exp(-sum(logs) / len(logs)))
 
 
+def test_word_order_counts(spark):
+    rng = np.random.default_rng(4)
+    parts = [f"w{k}" for k in range(40)]
+    after = {w: [str(x) for x in rng.choice(parts, 3, replace=False)] for w in parts}
+
+    def chain():
+        out = [parts[int(rng.integers(40))]]
+        while len(out) < 60:
+            out.append(after[out[-1]][int(rng.integers(3))])
+        return out
+
+    good = [chain() for _ in range(300)]
+    mixed = [[str(w) for w in rng.permutation(chain())] for _ in range(30)]
+    docs = [(i, " ".join(t), "en") for i, t in enumerate(good + mixed)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(270)], "doc_id long, quality int, toxic int")
+    rows = kneser_ney.judged(
+        spark.createDataFrame(docs, "doc_id long, text string, lang string"), labels, kneser_ney.WORDS
+    ).collect()
+    kept = {r.doc_id: r.kept for r in rows}
+    assert sum(kept[i] for i in range(270, 300)) > 24 and not any(kept[i] for i in range(300, 330))
+    # thresholds come from trusted documents that were left out, as they are
+    out = {i for i in range(270) if zlib.crc32(str(i).encode()) % 10 == 0}
+    assert max(r.perplexity for r in rows if r.doc_id in out) == rows[0].threshold
+
+
 def test_class_model_beats_the_base(spark, sf_dir, texts):
     rows = queries.op10_brown_lm(spark, sf_dir).toPandas()
     counts = Counter()
