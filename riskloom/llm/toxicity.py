@@ -262,6 +262,18 @@ def _variants(word: str) -> list[str]:
     return out
 
 
+def _hardest(model: Model, words: list[str], most: int, at_once: int = 50_000) -> list[str]:
+    """The words of the highest margins, highest first; equal ones keep their order."""
+    margin, place = np.zeros(0), np.zeros(0, np.int64)
+    for start in range(0, len(words), at_once):
+        some = words[start : start + at_once]
+        margin = np.concatenate([margin, model.margins(some)])
+        place = np.concatenate([place, np.arange(start, start + len(some))])
+        top = np.argsort(-margin, kind="stable")[:most]
+        margin, place = margin[top], place[top]
+    return [words[i] for i in place]
+
+
 def train(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model:
     """Model of labelled texts (1 toxic); every ``CALIBRATE_PART``-th row only calibrates.
 
@@ -280,7 +292,6 @@ def train(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model:
     ranked, clean = _witnesses(fit_bags, y)
     if not ranked or not clean:
         return empty
-    ranked = ranked[: landmarks // 2]
     listed = set(ranked)
     positive = [v for u in ranked for v in _variants(u) if v in listed or not clean[v]]
     share = np.array([1.0 if u in listed else 0.1 for u in positive])
@@ -293,14 +304,12 @@ def train(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model:
     model = empty
     for _ in range(3):
         spelled = [f.join(u) for f in _FILLERS[:2] for u in ranked[: half // 4] if len(u) > 3]
-        chosen = ranked + spelled + negative[: half // 2]
+        chosen = ranked[:half] + spelled + negative[: half // 2]
         chosen += drawn[: max(landmarks - len(chosen), half // 4)]
         weights, bias = _fit(positive, negative, list(dict.fromkeys(chosen)), share)
         model = Model(weights, bias, 1.0, 0.0)
         # anew: the clean words nearest to insults join the landmarks
-        near = others if len(others) <= 200_000 else drawn
-        order = np.argsort(-model.margins(near), kind="stable")[: FIT_UNITS // 4] if near else []
-        hard = [near[i] for i in order]
+        hard = _hardest(model, others, FIT_UNITS // 4)
         negative = list(dict.fromkeys(hard + negative))
     scorer = Scorer(model)
     rest = [t for (t, _), h in zip(rows, held, strict=True) if h]

@@ -287,7 +287,7 @@ def test_toxicity_on_held_out_rows(spark, larger):
 def test_toxicity_tolerates_inserted_letters():
     rng = np.random.default_rng(3)
     letters = list("aeioubdfglmnprstv")
-    names = ["".join(rng.choice(letters, rng.integers(3, 9))) for _ in range(3000)]
+    names = ["".join(rng.choice(letters, rng.integers(3, 9))) for _ in range(9000)]
     rows = []
     for i in range(500):
         text = [str(w) for w in rng.choice(names, 30)] + ["garden", "river"]
@@ -299,6 +299,32 @@ def test_toxicity_tolerates_inserted_letters():
     assert unit[0] == "scoundrel" and unit[4] is None
 
 
+def test_all_clean_words_are_mined():
+    weights = np.random.default_rng(2).normal(size=toxicity.SLOTS).astype(np.float32)
+    model = toxicity.Model(weights, 0.0, 1.0, 0.0)
+    names = [f"w{i:x}" for i in range(210_000)]
+    order = np.argsort(-model.margins(names), kind="stable")[:100]
+    assert toxicity._hardest(model, names, 100) == [names[i] for i in order]
+
+
+def test_all_telling_words_are_learned(monkeypatch):
+    rng = np.random.default_rng(9)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    names = ["".join(rng.choice(letters, 7)) for _ in range(1260)]
+    bad, plain = names[:260], names[260:]
+    rows = [(" ".join([w, *rng.choice(plain, 3)]), 1) for w in bad for _ in range(14)]
+    rows += [(" ".join(rng.choice(plain, 12)), 0) for _ in range(9000)]
+    seen, plain_fit = [], toxicity._fit
+
+    def recorded(positive, *others):
+        seen.append(set(positive))
+        return plain_fit(positive, *others)
+
+    monkeypatch.setattr(toxicity, "_fit", recorded)
+    toxicity.train([rows[i] for i in rng.permutation(len(rows))])
+    assert all(len(words.intersection(bad)) > 200 for words in seen)
+
+
 def test_kernel_folds_to_the_same_margin():
     positive, negative = ["scoundrel", "scoundrels"], ["garden", "river", "green"]
     landmarks = ["scoundrel", "garden", "river"]
