@@ -270,7 +270,7 @@ def _across(members: DataFrame, label: DataFrame, texts: DataFrame) -> DataFrame
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, component, n, shingle) rows."""
+    """(node, component, variant, n, shingle) rows."""
     known = _Hashes()
     for batch in slices(batches, 128):
         sets = [shingles(t.as_py(), known) for t in batch["text"]]
@@ -278,10 +278,10 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known.clear()
         if not (sizes := [len(s) for s in sets]):
             continue
-        columns = [np.repeat(batch[c].to_numpy(), sizes) for c in ("node", "component")]
+        columns = [np.repeat(batch[c].to_numpy(), sizes) for c in ("node", "component", "variant")]
         columns.append(np.repeat(np.array(sizes, np.int64), sizes))
         columns.append(np.concatenate(sets).view(np.int64))
-        yield pa.record_batch(columns, names=["node", "component", "n", "shingle"])
+        yield pa.record_batch(columns, names=["node", "component", "variant", "n", "shingle"])
 
 
 def _by_rarest(crowded: DataFrame, texts: DataFrame) -> DataFrame:
@@ -292,16 +292,18 @@ def _by_rarest(crowded: DataFrame, texts: DataFrame) -> DataFrame:
     y - ceil(t y) + 1 rarest with one of the x - ceil(2 t / (1 + t) x) + 1 rarest of x; the
     order is by the number of sets here that hold the shingle. Where the first shared one
     stands bounds how many can follow, which leaves out sets that share a long passage
-    behind rare shingles of their own.
+    behind rare shingles of their own. Repeated rows of a node count once; texts of one node
+    that differ are sets of their own.
     """
     rows = written(
         texts.join(crowded, "node")
-        .select("node", "component", "text")
-        .mapInArrow(_exploded, "node long, component long, n long, shingle long"),
+        .select("node", "component", F.xxhash64("text").alias("variant"), "text")
+        .dropDuplicates(["node", "component", "variant"])
+        .mapInArrow(_exploded, "node long, component long, variant long, n long, shingle long"),
         "shingles",
     )
     held = rows.groupBy("shingle").agg(F.count("*").alias("held"))
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("held", "shingle"))
+    rank = F.row_number().over(Window.partitionBy("node", "variant").orderBy("held", "shingle"))
     probe = F.expr(f"n - ceil({PERCENT} * n / 100) + 1")
     index = F.expr(f"n - ceil(2 * {PERCENT} * n / (100 + {PERCENT})) + 1")
     prefix = written(

@@ -182,6 +182,26 @@ def test_near_duplicates_that_share_a_passage(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == _brute_components(rows)
 
 
+def test_repeated_rows_in_crowded_bands(spark):
+    rng = np.random.default_rng(6)
+    rows = {}
+    for i in range(120):
+        rows[i] = [f"p{k}" for k in range(90)] + [f"w{i}x{k}" for k in range(int(rng.integers(25, 60)))]
+    found = []
+    crowded = spark.createDataFrame([(i, i) for i in range(240)], "node long, component long")
+    for i in range(120, 240):
+        copy = list(rows[i - 120])
+        copy[95 + i % 20] = f"c{i}"
+        rows[i] = copy
+    rows = {i: " ".join(w) for i, w in rows.items()}
+    for repeats in (1, 12):
+        texts = spark.createDataFrame(
+            [(i, t) for i, t in rows.items() for _ in range(repeats)], "node long, text string"
+        )
+        found.append({(r.a, r.b) for r in near_dedup._by_rarest(crowded, texts).collect()})
+    assert {(i, i + 120) for i in range(120)} <= found[0] and found[1] == found[0]
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(99, 98)], "a long, b long")
     found = {r.node: r.component for r in components.components(edges).collect()}
