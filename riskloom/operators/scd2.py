@@ -17,10 +17,19 @@ def snapshot_time(at: datetime | str) -> Column:
 
 
 def first_versions(extract: DataFrame, key: str, sk: str, at: datetime | str) -> DataFrame:
-    """A history that starts with this extract; copies of a row collapse into one."""
+    """A history that starts with this extract; copies of a row collapse into one.
+
+    Of rows of one key that differ the smallest stays; ``conflicting_keys`` counts these keys.
+    """
     return _opened(_one_per_key(extract, key), key, sk, at)
 
 
+def conflicting_keys(extract: DataFrame, key: str) -> DataFrame:
+    """One row: ``failures``, the number of keys with more than one distinct row."""
+    rows = extract.select(F.col(key).alias("_key"), F.struct(*extract.columns).alias("_row")).distinct()
+    return rows.groupBy("_key").count().where("count > 1").agg(F.count("*").alias("failures"))
+
+
 def _opened(extract: DataFrame, key: str, sk: str, at: datetime | str) -> DataFrame:
     time = snapshot_time(at)
     return extract.select(
@@ -44,7 +53,8 @@ def changed_versions(
 
     A key with a changed tracked column gets its version closed and a new one; a
     new key gets a version; all else stays, including keys the extract lacks
-    unless ``close_missing``. Copies of an extract row collapse into one.
+    unless ``close_missing``. Copies of an extract row collapse into one; of rows of one key
+    that differ the smallest stays, and ``conflicting_keys`` counts these keys.
     """
     time = snapshot_time(at)
     fresh = _opened(_one_per_key(extract, key), key, sk, at).select(*current.columns)

@@ -204,3 +204,10 @@ def test_calendar(spark):
     sunday = days.filter("date_sk = 20240107").first()
     assert (sunday.day_of_week, sunday.day_name, sunday.is_weekend) == (0, "Sunday", True)
     assert {r.day_of_week for r in days.select("day_of_week").distinct().collect()} == set(range(7))
+
+
+def test_conflicting_rows_of_a_key_are_counted(spark):
+    rows = [("a", "x", "LOW"), ("a", "x", "LOW"), ("b", "x", "LOW"), ("b", "x", "HIGH"), ("c", None, None)]
+    extract = _extract(spark, rows)
+    assert scd2.conflicting_keys(extract, "id").first()["failures"] == 1
+    assert scd2.first_versions(extract, "id", "sk", START).count() == 3
