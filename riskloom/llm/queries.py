@@ -6,8 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm import (
+    bit_search,
     bpe,
     brown_lm,
+    collocations,
+    jaccard_join,
     kneser_ney,
     mixing,
     near_dedup,
@@ -69,6 +72,18 @@ def op10_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown_lm.scored(table(spark, sf_dir, "documents"))
 
 
+def op11_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -82,5 +97,8 @@ QUERIES = {
         op8_mixing,
         op9_token_counts,
         op10_brown_lm,
+        op11_bit_search,
+        op12_jaccard_join,
+        op13_collocations,
     )
 }
