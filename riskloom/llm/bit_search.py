@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,8 @@ STEPS = (1, 2, 3, 5, 9, 17, 33)
 BLOCK, CELLS, ENTRIES = 4096, 1 << 24, 2_000_000
 # Documents of a block that are tried for the floor, for each query.
 TRIED = 8
-# Queries that go through a block together.
-GROUP = 512
+# Queries that go through a block together, and terms of queries sent to all tasks at once.
+GROUP, TERMS_SENT = 512, 1_000_000
 # Terms that are looked up together.
 TERMS_AT_ONCE = 512
 # Ids that are sent to all tasks; more are joined by a shuffle.
@@ -401,20 +402,29 @@ def search(docs: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
         .select("item_id", F.col("t.term").alias("terms"), F.col("t.weight").alias("weights")),
         "queries",
     )
-    groups = max(1, -(-queries.count() // GROUP))
+    size = queries.agg(F.count("*").alias("n"), F.sum(F.size("terms")).alias("terms")).first()
+    groups = max(1, -(-size["n"] // GROUP))
+    rounds = max(1, -(-(size["terms"] or 0) // TERMS_SENT))
     part = F.pmod(F.xxhash64("item_id"), F.lit(groups)).cast("int").alias("part")
     every_part = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part")
 
     def bounds(floored: DataFrame, choose) -> DataFrame:
-        """What ``choose`` takes of every block for every query with its floor."""
+        """What ``choose`` takes of every block for every query with its floor.
+
+        All queries that fit the bound are sent to the blocks; more go in further rounds.
+        """
         each = F.struct("item_id", "terms", "weights", "floor")
-        grouped = floored.groupBy(part).agg(F.collect_list(each).alias("queries"))
-        return (
-            blocks.select("*", every_part)
-            .join(grouped, "part")
-            .drop("part")
-            .mapInArrow(_bounded(n, words, choose), "item_id long, doc_id long, bound long")
-        )
+        found = []
+        for turn in range(rounds):
+            own = floored.where(F.pmod(F.xxhash64("item_id", F.lit(7)), F.lit(rounds)) == turn)
+            grouped = own.groupBy(part).agg(F.collect_list(each).alias("queries"))
+            found.append(
+                blocks.select("*", every_part)
+                .join(F.broadcast(grouped), "part")
+                .drop("part")
+                .mapInArrow(_bounded(n, words, choose), "item_id long, doc_id long, bound long")
+            )
+        return reduce(DataFrame.unionByName, found)
 
     none = F.lit(None).cast("struct<score: long, doc_id: long>").alias("floor")
     tried = bounds(queries.select("*", none), _highest(TRIED))
