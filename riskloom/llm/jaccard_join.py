@@ -23,10 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm import bitmap
 from riskloom.llm.common import slices, words
 from riskloom.llm.components import components
 from riskloom.session import written
@@ -35,11 +38,11 @@ WIDTH = 5
 # Documents are linked if 100 * intersection >= PERCENT * union.
 PERCENT = 80
 # Coordinates of a point.
-GROUPS = 64
+GROUPS = 256
 # Points of a tree's leaf, and members of a bucket that one task compares.
 LEAF, TILE = 32, 4096
 # Sizes of one class are cut into the same cells; the largest is so many times the smallest.
-CLASS = 4
+CLASS = 2
 # Word hashes a worker remembers; only speed depends on it.
 CACHED = 300_000
 
@@ -77,9 +80,9 @@ def shingles(text: str | None, known: dict[bytes, int] | None = None) -> np.ndar
 
 
 def point(sets: np.ndarray) -> np.ndarray:
-    """Shingles in each group, in 16 bits; the highest number stands for any larger one."""
+    """Shingles in each group, in 8 bits; the highest number stands for any larger one."""
     counts = np.bincount((sets >> np.uint64(7)).astype(np.int64) % GROUPS, minlength=GROUPS)
-    return np.minimum(counts, 0xFFFF).astype(np.uint16)
+    return np.minimum(counts, 0xFF).astype(np.uint8)
 
 
 def _differing(n: int, percent: int) -> int:
@@ -162,10 +165,10 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _points_of(column: pa.Array) -> np.ndarray:
-    """Points as rows; the highest 16-bit number stands for any larger one."""
-    rows = np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, GROUPS)
+    """Points as rows; sizes of any set with a group of 255 or more are below the highest."""
+    rows = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, GROUPS)
     rows = rows.astype(np.int32)
-    rows[rows == 0xFFFF] = 1 << 24
+    rows[rows == 0xFF] = 1 << 22
     return rows
 
 
@@ -288,7 +291,7 @@ def _compared(percent: int):
 
     def compare(rows: pa.Table) -> pa.Table:
         ids = rows["id"].to_numpy()
-        sizes = rows["n_shingles"].to_numpy()
+        sizes = rows["n"].to_numpy()
         _, labels = np.unique(rows["label"].to_numpy(), return_inverse=True)
         part = rows["part"].to_numpy()
         tree = Tree(_points_of(rows["point"].combine_chunks()), sizes, labels)
@@ -309,16 +312,38 @@ def _renamed(df: DataFrame, suffix: str, key: str) -> DataFrame:
     return df.select(*[F.col(c).alias(key if c == "id" else f"{c}_{suffix}") for c in df.columns])
 
 
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found = [batch["cell"].to_numpy().view(np.uint64) for batch in batches]
+    if found:
+        yield from bitmap.blocks(np.concatenate(found))
+
+
+def _named_again(bits: Broadcast):
+    """(id, cell) of the cells whose bit is set."""
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 4096):
+            cells_ = batch["cells"].flatten()
+            id_ = batch["id"].take(pc.list_parent_indices(batch["cells"]))
+            again = bitmap.marked(bits.value, cells_.to_numpy().view(np.uint64))
+            yield pa.record_batch([id_, cells_], names=["id", "cell"]).filter(pa.array(again))
+
+    return named
+
+
 class _Join:
     def __init__(self, rows: DataFrame, percent: int):
         self.rows, self.percent = rows, percent
         self.described = written(rows.mapInArrow(_described(percent), DESCRIBED), "described")
-        filled = self.described.where("n_shingles > 0 and id is not null")
+        filled = self.described.where("n_shingles > 0 and id is not null").drop("cells")
         # texts with equal sets are one from here on: the smallest id stands for them
         self.same = written(filled.groupBy("digest").agg(F.min("id").alias("id")), "same")
-        first = filled.join(self.same, ["digest", "id"], "left_semi").dropDuplicates(["digest", "id"])
-        self.first = written(first, "first")
-        self.points = self.first.select("id", F.col("n_shingles").alias("n"), "point")
+        self.points = written(
+            filled.join(self.same, ["digest", "id"], "left_semi")
+            .select("id", F.col("n_shingles").alias("n"), "point")
+            .distinct(),
+            "points",
+        )
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are linked: by their points, then by their full sets."""
@@ -349,14 +374,28 @@ class _Join:
 
     def links(self) -> DataFrame:
         """Links (a, b) that connect whatever is connected; not all links of a component."""
-        named = self.first.select("id", F.explode("cells").alias("cell"))
-        buckets = (
+        named = self.described.where("id is not null").select("id", F.explode("cells").alias("cell"))
+        buckets = written(
             named.groupBy("cell")
             .agg(F.min("id").alias("lead"), F.max("id").alias("last"))
             .where("lead < last")
-            .select("cell", "lead")
+            .select("cell", "lead"),
+            "buckets",
+        )
+        # most cells are named once; the others are few enough to be dealt out again
+        bits = buckets.sparkSession.sparkContext.broadcast(
+            bitmap.gathered(buckets.mapInArrow(_marks, "block int, bits binary"))
+        )
+        members = written(
+            self.described.where("id is not null")
+            .select("id", "cells")
+            .mapInArrow(_named_again(bits), "id long, cell long")
+            .join(self.same.select("id"), "id", "left_semi")
+            .join(buckets, "cell")
+            .where("id > lead")
+            .distinct(),
+            "members",
         )
-        members = written(named.join(buckets, "cell").where("id > lead").distinct(), "members")
         links = self.linked(members.select(F.col("id").alias("a"), F.col("lead").alias("b")))
         label = components(links).select(F.col("node").alias("id"), F.col("component").alias("label"))
         labelled = members.join(label, "id", "left").select(
@@ -369,9 +408,7 @@ class _Join:
             .where("x < y")
             .select("cell", F.expr(f"cast(ceil(size / {TILE}) as int)").alias("parts"))
         )
-        rest = labelled.join(mixed, "cell").join(
-            self.first.select("id", "n_shingles", "point"), "id"
-        )
+        rest = labelled.join(mixed, "cell").join(self.points, "id")
         # a crowded bucket is cut into parts, and each two parts are compared in a task
         rest = rest.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).select(
             "*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
@@ -379,6 +416,8 @@ class _Join:
         more = (
             rest.withColumn("low", F.least("part", "other"))
             .withColumn("high", F.greatest("part", "other"))
+            # comparing takes longer than the rows' size tells
+            .repartition(int(self.rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cell", "low", "high")
             .groupBy("cell", "low", "high")
             .applyInArrow(_compared(self.percent), "a long, b long")
         )
