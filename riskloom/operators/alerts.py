@@ -69,17 +69,20 @@ def _usable() -> Column:
     return reduce(and_, [c.isNotNull() for c in stored])
 
 
-def number_rows(rows: DataFrame, key: str, name: str, after: int = 0) -> DataFrame:
+def number_rows(
+    rows: DataFrame, key: str, name: str, after: int = 0, buckets: int = ID_BUCKETS
+) -> DataFrame:
     """Add unique ids above ``after``, the same for the same rows.
 
     Rows are numbered inside hash buckets, and bucket b of n takes every n-th id from
-    b on: one pass, no global sort, and gaps only where buckets differ in size.
+    b on: one pass, no global sort, and gaps only where buckets differ in size. Very
+    large batches want more buckets, as each is numbered in one task.
     """
-    bucket = F.pmod(F.xxhash64(key), F.lit(ID_BUCKETS))
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
     inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
     return (
         rows.withColumn("_bucket", bucket)
-        .withColumn(name, (inside - 1) * ID_BUCKETS + F.col("_bucket") + F.lit(after + 1))
+        .withColumn(name, (inside - 1) * buckets + F.col("_bucket") + F.lit(after + 1))
         .drop("_bucket")
     )
 
@@ -104,13 +107,14 @@ def new_alerts(
     now: Column | None = None,
     order: Sequence[str] = ("event_time",),
     after: int | None = None,
+    buckets: int = ID_BUCKETS,
 ) -> DataFrame:
     """Full alert rows to add, with ids above ``after`` (else the last id) and defaults."""
     now = F.current_timestamp() if now is None else now
     if after is None:
         after = existing.agg(F.coalesce(F.max("alert_id"), F.lit(0))).first()[0]
     fresh = absent_alerts(existing, incoming, order)
-    rows = number_rows(fresh, "transaction_id", "alert_id", after)
+    rows = number_rows(fresh, "transaction_id", "alert_id", after, buckets)
     return rows.select(
         "alert_id",
         "transaction_id",

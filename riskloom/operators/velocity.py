@@ -58,8 +58,12 @@ def score_with_velocity(
     The same score, flag and reason as scoring first and ``velocity_in_batch`` after,
     but the rows cross the shuffle before they get the columns of the score.
     """
+    return score_marked(mark_bursts(rows, batch, **options), rules)
+
+
+def score_marked(marked: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
+    """Rows that carry ``velocity_hit``, scored by all rules and the velocity rule."""
     rules = default_rules() if rules is None else rules
-    marked = mark_bursts(rows, batch, **options)
     return flag(score(marked, [*rules, velocity_rule()]), S.REASON_CRITICAL)
 
 
@@ -88,9 +92,12 @@ def velocity_trailing(
     seconds: int,
     bucket_seconds: int | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``tx_count``: rows of the account in the ``seconds`` up to each row.
 
+    ``earlier`` has counts (account_id, event_time, _n) of rows that are no longer there.
+
     Rows are first counted per account and instant. Each instant then adds its count
     when it comes and takes it away when it leaves the trailing span, so a running sum
     gives every answer in one pass. The sums run inside time buckets; what is still in
@@ -103,6 +110,9 @@ def velocity_trailing(
         raise ValueError("a bucket must be at least as long as the trailing span")
     keys = ["account_id", "event_time"]
     counts = rows.groupBy(*keys).agg(F.count("transaction_id").alias("_n"))
+    if earlier is not None:
+        both = counts.unionByName(earlier.select(*keys, "_n"))
+        counts = both.groupBy(*keys).agg(F.sum("_n").alias("_n"))
     heavy = heavy_keys(counts, keys, "_n", rows_per_slice)
 
     ticks = counts.withColumn("_at", micros("event_time"))

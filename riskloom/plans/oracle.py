@@ -80,6 +80,9 @@ silver as (
     cast(event_day as varchar) as event_date
   from rescored)"""
 
+TRAILING_FRAME = """(partition by account_id order by event_time
+    range between interval 6 hour preceding and current row)"""
+
 ALERTS = """
 alerts as (
   select kafka_offset + 1 as alert_id, transaction_id, account_id, customer_id,
@@ -606,4 +609,24 @@ ORACLE: dict[str, str] = {
           fraud_reason, 'PENDING' as status, event_time,
           timestamp '2024-02-01' as created_at, timestamp '2024-02-01' as updated_at
         from alerts""",
+    "stream_silver_score_batches": f"""with {TX},{_validated('tx', currency=True)},{SCORED},
+        {VELOCITY.replace("(partition by account_id, event_day)", TRAILING_FRAME)}
+        select transaction_id, account_id, amount, risk_score, risk_score >= 0.7 as is_fraud_suspect,
+          case when risk_score >= 0.7 then '{S.REASON_CRITICAL}' end as fraud_reason,
+          event_time, event_date
+        from silver""",
+    "stream_dead_letters": f"""with {TX},{_validated('tx', currency=True)},
+        {REPLAYED.format(source='validated')}
+        select kafka_offset, transaction_id, amount, currency, dlq_reason
+        from replayed where dlq_reason is not null""",
+    "stream_alert_restart": f"""with {SILVER},{ALERTS}
+        select risk_level, count(*) as alert_count, count(*) as id_count,
+          count(*) as transaction_count, true as ids_in_bounds
+        from alerts where (alert_id - 1) % 7 <> 0 and (alert_id - 1) % 11 <> 0
+        group by rollup (risk_level)""",
+    "alerts_rejected": f"""with {SILVER},{ALERTS}
+        select transaction_id,
+          case when (alert_id - 1) % 7 <> 0 then customer_id end as customer_id,
+          case when (alert_id - 1) % 7 = 0 then event_time end as event_time, risk_score
+        from alerts where (alert_id - 1) % 7 = 0 or (alert_id - 1) % 11 = 0""",
 }

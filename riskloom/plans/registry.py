@@ -591,3 +591,23 @@ def stream_late_rows(spark, sf_dir):
 @query
 def stream_alert_upsert(spark, sf_dir):
     return stream_jobs.alert_upsert(spark, sf_dir)
+
+
+@query
+def stream_silver_score_batches(spark, sf_dir):
+    return stream_jobs.silver_score_batches(spark, sf_dir)
+
+
+@query
+def stream_dead_letters(spark, sf_dir):
+    return stream_jobs.dead_letters(spark, sf_dir)
+
+
+@query
+def stream_alert_restart(spark, sf_dir):
+    return stream_jobs.alert_restart(spark, sf_dir)
+
+
+@query
+def alerts_rejected(spark, sf_dir):
+    return stream_jobs.alerts_rejected(spark, sf_dir)

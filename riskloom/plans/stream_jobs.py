@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import schemas as S
+from riskloom.operators.alerts import alert_messages
+from riskloom.operators.bronze import envelope
 from riskloom.operators.dedup import dedup_stream, late_rows
 from riskloom.operators.velocity import velocity_tumbling
 from riskloom.plans import dataset as D
-from riskloom.session import scratch_path
+from riskloom.session import scratch_path, written
 from riskloom.sinks.writers import append_stream
 from riskloom.sources.readers import table, table_stream
 from riskloom.streaming import alerts, bronze, silver
+from riskloom.streaming.alert_ids import LANES
+from riskloom.streaming.held import TrailingVelocity
 
 
 @dataclass(frozen=True)
@@ -88,6 +92,61 @@ def silver_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Runs of the same checkpoint that a stream is cut into, each with the next part in time.
+PARTS = 4
+TRAILING_SECONDS = 6 * 3600
+
+
+def _parts(rows: DataFrame) -> list[DataFrame]:
+    """Rows in ``PARTS`` spans of event time; those without a time come first."""
+    low, high = rows.agg(F.min("event_time"), F.max("event_time")).first()
+    edges = [F.lit(low + (high - low) * i / PARTS).cast("timestamp") for i in range(1, PARTS)]
+    number = sum(F.coalesce((F.col("event_time") >= e).cast("int"), F.lit(0)) for e in edges)
+    return [rows.filter(number == i) for i in range(PARTS)]
+
+
+def silver_score_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trailing velocity rule over a stream cut into many micro-batches."""
+    folders = Folders(scratch_path(spark, "stream"))
+    router = silver.Router(
+        silver.table_sink(folders.table("silver"), partition_by=["event_date"]),
+        silver.table_sink(folders.table("alerts")),
+        silver.table_sink(folders.table("dead_letters")),
+        velocity=TrailingVelocity(folders.table("waiting"), TRAILING_SECONDS),
+    )
+    for part in _parts(D.replayed(D.tx(spark, sf_dir))):
+        rows = envelope(D.payload_messages(part), D.ingested_at())
+        rows.coalesce(2).write.mode("append").parquet(folders.table("bronze"))
+        stream = table_stream(spark, folders.table("bronze"), S.BRONZE, max_files=1)
+        for query in silver.score_stream(
+            stream, router, folders.checkpoint("score"), True, _processed_at()
+        ):
+            query.awaitTermination()
+    router.drain(spark)
+    return _silver_table(spark, folders).select(
+        "transaction_id", "account_id", "amount", "risk_score", "is_fraud_suspect",
+        "fraud_reason", "event_time", "event_date",
+    )
+
+
+def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What one call of ``score_stream`` quarantines, with the reason."""
+    folders = Folders(scratch_path(spark, "stream"))
+    _ingest(_messages(spark, sf_dir), folders)
+    router = silver.Router(
+        *[silver.table_sink(folders.table(n)) for n in ("silver", "alerts", "dead_letters")],
+        velocity_batch=["event_date"],
+    )
+    stream = table_stream(spark, folders.table("bronze"), S.BRONZE)
+    for query in silver.score_stream(
+        stream, router, folders.checkpoint("score"), True, _processed_at()
+    ):
+        query.awaitTermination()
+    return table(spark, folders.table("dead_letters")).select(
+        "kafka_offset", "transaction_id", "amount", "currency", "dlq_reason"
+    )
+
+
 def router_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folders = Folders(scratch_path(spark, "stream"))
     _ingest(_messages(spark, sf_dir), folders)
@@ -179,3 +238,67 @@ def alert_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).awaitTermination()
     stored = alerts.stored_alerts(spark, folders.table("operational_alerts"))
     return stored.drop("alert_id", "batch_id", "operator_notes")
+
+
+def _alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alert messages with their offset; of some the customer or the time is missing."""
+    rows = D.silver(D.tx(spark, sf_dir))
+    columns = [c for c in S.SILVER.fieldNames() if c in rows.columns]
+    messages = alert_messages(
+        rows.withColumn("risk_score", F.col("risk_score").cast("double")).select(*columns)
+    )
+    number = F.get_json_object("value", "$.kafka_offset").cast("long")
+    no_customer = F.regexp_replace("value", '"customer_id"', '"customer"')
+    no_time = F.regexp_replace("value", '"event_time":"[^"]*"', '"event_time":"soon"')
+    value = F.when(number % 7 == 0, no_customer).when(number % 11 == 0, no_time)
+    return messages.select("key", F.coalesce(value, "value").alias("value"), number.alias("number"))
+
+
+def _consume_in_turns(spark: SparkSession, sf_dir: str) -> tuple[Folders, int]:
+    """Two streams into one alert table, each stopped and started again for every part;
+    the second one's messages are all of the first's and more."""
+    folders = Folders(scratch_path(spark, "stream"))
+    messages = written(_alert_messages(spark, sf_dir), "messages")
+    starts = 0
+    for turn in range(3):
+        for name, own in (("one", F.col("number") % 2 == 0), ("two", F.lit(True))):
+            part = messages.filter(own & (F.col("number") % 3 == turn)).select("key", "value")
+            part.write.mode("append").parquet(folders.table(name))
+            alerts.consume(
+                table_stream(spark, folders.table(name), S.struct_of("key string, value string")),
+                folders.table("operational_alerts"),
+                folders.checkpoint(name),
+                now=D.loaded_at(),
+                available_now=True,
+            ).awaitTermination()
+            starts += 1
+    return folders, starts
+
+
+def alert_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts and their ids after two streams with restarts: as many ids as alerts, and ids
+    that stay small."""
+    folders, starts = _consume_in_turns(spark, sf_dir)
+    stored = alerts.stored_alerts(spark, folders.table("operational_alerts"))
+    bound = LANES * (starts + 1) * 1024 * 1024
+    return stored.rollup("risk_level").agg(
+        F.count("*").alias("alert_count"),
+        F.countDistinct("alert_id").alias("id_count"),
+        F.countDistinct("transaction_id").alias("transaction_count"),
+        F.bool_and((F.col("alert_id") > 0) & (F.col("alert_id") < bound)).alias("ids_in_bounds"),
+    )
+
+
+def alerts_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that can't be stored, from the reject table of the consumer."""
+    folders = Folders(scratch_path(spark, "stream"))
+    _alert_messages(spark, sf_dir).select("key", "value").write.parquet(folders.table("in"))
+    alerts.consume(
+        table_stream(spark, folders.table("in"), S.struct_of("key string, value string")),
+        folders.table("operational_alerts"),
+        folders.checkpoint("alerts"),
+        now=D.loaded_at(),
+        available_now=True,
+    ).awaitTermination()
+    rejected = table(spark, f"{folders.table('operational_alerts')}_rejected")
+    return rejected.select("transaction_id", "customer_id", "event_time", "risk_score")

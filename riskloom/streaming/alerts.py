@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom import schemas as S
-from riskloom.operators.alerts import extract_alerts, new_alerts, rejected_alerts
+from riskloom.operators.alerts import ID_BUCKETS, extract_alerts, new_alerts, rejected_alerts
 from riskloom.session import ADAPTIVE_CONF, settings
 from riskloom.sinks.writers import (
     batch_key,
@@ -19,9 +19,7 @@ from riskloom.sinks.writers import (
     running_stream,
     write_batch,
 )
-
-# Each micro-batch has ids of its own, so none has to look up the last one.
-IDS_PER_BATCH = 2**36
+from riskloom.streaming.alert_ids import AlertIds, as_id, following
 
 
 def stored_alerts(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -40,30 +38,35 @@ def consume(
     order: Sequence[str] = ("event_time",),
     available_now: bool = False,
     rejects: str | None = None,
+    id_buckets: int = ID_BUCKETS,
 ) -> StreamingQuery:
     """Insert an alert per transaction that has none; a failed batch is run again.
 
     A repeated batch does not see its own earlier output, and replaces it. Messages that
     can't be stored go to ``rejects`` under the same batch, by default beside the table.
-    Ids start above those that were stored when the stream started.
+    Ids are handed out by ``AlertIds`` in a folder beside the table.
     """
     spark = messages.sparkSession
     rejects = rejects or f"{path.rstrip('/')}_rejected"
     empty_table(spark, path, S.OPERATIONAL_ALERTS, fmt)
     empty_table(spark, rejects, rejected_alerts(_empty(spark, messages)).schema, fmt)
-    last = stored_alerts(spark, path, fmt).agg(F.max("alert_id")).first()[0] or 0
+    ids = AlertIds(spark, f"{path.rstrip('/')}_ids")
 
     def insert(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        key = batch_key(running_stream(session), batch_id)
+        stream = running_stream(session)
+        key = batch_key(stream, batch_id)
         with settings(session, ADAPTIVE_CONF):
             batch.persist()
             try:
                 existing = stored_alerts(session, path, fmt).filter(F.col("batch_id") != key)
-                after = last + batch_id * IDS_PER_BATCH
-                rows = new_alerts(existing, extract_alerts(batch), now, order, after)
+                lane, number = ids.open(stream, batch_id, existing)
+                rows = new_alerts(existing, extract_alerts(batch), now, order, number - 1, id_buckets)
+                rows = rows.withColumn("alert_id", as_id(F.col("alert_id"), lane))
                 write_batch(rows, path, batch_id, fmt)
                 write_batch(rejected_alerts(batch), rejects, batch_id, fmt)
+                own = stored_alerts(session, path, fmt).filter(F.col("batch_id") == key)
+                ids.close(stream, batch_id, lane, following(own, number))
             finally:
                 batch.unpersist()
 

@@ -11,7 +11,7 @@ import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,9 +21,10 @@ from riskloom.operators.bronze import parse_payload
 from riskloom.operators.checks import CheckFailed
 from riskloom.operators.dedup import dedup_stream
 from riskloom.operators.rules import Rule
-from riskloom.operators.velocity import score_with_velocity
+from riskloom.operators.velocity import mark_bursts, score_marked
 from riskloom.session import ADAPTIVE_CONF, scratch_path, settings
 from riskloom.sinks.writers import append_stream, each_batch, write_batch
+from riskloom.streaming.held import TrailingVelocity
 
 log = logging.getLogger(__name__)
 
@@ -84,15 +85,26 @@ def score_stream(
     available_now: bool = False,
     processed_at: Column | None = None,
     known_currency: bool = True,
+    quarantine_after_dedup: bool = False,
     **options,
-) -> tuple[StreamingQuery, StreamingQuery]:
+) -> tuple[StreamingQuery, ...]:
     """Quarantine and scoring over ``bronze`` in one call: every row goes to one of the
     router's sinks, but for copies and rows behind the watermark.
 
     The stateless query sends broken rows to the router's dead letters, the stateful one
-    deduplicates and routes the others; each has a checkpoint below ``checkpoint``.
+    deduplicates and routes the others; each has a checkpoint below ``checkpoint``. With
+    ``quarantine_after_dedup`` the stateful one alone runs and routes all rows.
     Further options are those of ``deduplicated_stream``.
     """
+    rows = deduplicated_stream(
+        bronze,
+        quarantine_after_dedup,
+        processed_at=processed_at,
+        known_currency=known_currency,
+        **options,
+    )
+    if quarantine_after_dedup:
+        return (route(rows, router, f"{checkpoint}/scored", available_now),)
     checks = {k: v for k, v in options.items() if k not in ("watermark", "thin")}
     broken = _stamped(_checked(bronze, known_currency, checks), processed_at)
 
@@ -102,9 +114,6 @@ def score_stream(
     letters = each_batch(
         broken.filter("not is_valid"), to_dead_letters, f"{checkpoint}/broken", available_now
     )
-    rows = deduplicated_stream(
-        bronze, processed_at=processed_at, known_currency=known_currency, **options
-    )
     return letters, route(rows, router, f"{checkpoint}/scored", available_now)
 
 
@@ -131,8 +140,10 @@ class Router:
     """Scores one micro-batch and sends it to the silver, alert and quarantine sinks.
 
     ``velocity_batch`` names columns that part a micro-batch for the velocity rule;
-    without any, an account's rows in the micro-batch count together. Sinks write
-    under the batch id, so a batch run again replaces its own output.
+    without any, an account's rows in the micro-batch count together. With ``velocity`` the
+    rule counts a trailing span of event time instead, whatever the micro-batches: rows
+    then wait for the watermark, and ``drain`` scores the last ones of a stream that has
+    ended. Sinks write under the batch id, so a batch run again replaces its own output.
 
     The micro-batch is first written to ``staging`` (by default in the shared folder,
     two batches kept) and counted on the way. The velocity rule joins the batch to its
@@ -147,6 +158,7 @@ class Router:
     on_violation: str = "quarantine"
     scoring: Sequence[Rule] | None = None
     staging: str | None = None
+    velocity: TrailingVelocity | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with settings(batch.sparkSession, ADAPTIVE_CONF):
@@ -175,15 +187,12 @@ class Router:
             batch = validate.quarantine_currency(batch)
 
         good, suspects = counts["valid"] - bad_currency, 0
-        if good:
-            silver = to_silver(batch, self.velocity_batch, self.scoring).persist()
-            try:
-                self.silver(silver, batch_id)
-                suspects = alerts.suspects(silver).count()
-                if suspects:
-                    self.alerts(alerts.alert_messages(silver), batch_id)
-            finally:
-                silver.unpersist()
+        if self.velocity:
+            ripe = self.velocity.release(validate.valid_rows(batch), batch_id)
+            good, suspects = self._send(_silver(score_marked(ripe, self.scoring)), batch_id)
+        elif good:
+            rows = to_silver(batch, self.velocity_batch, self.scoring)
+            good, suspects = self._send(rows, batch_id)
         broken = counts["broken"] + bad_currency
         if broken:
             self.dead_letters(dead_letters(batch, self.scoring), batch_id)
@@ -191,6 +200,31 @@ class Router:
             "batch %s: %s silver rows, %s alerts, %s quarantined", batch_id, good, suspects, broken
         )
 
+    def _send(self, rows: DataFrame, batch_id: int) -> tuple[int, int]:
+        """Silver rows and their alerts to the sinks; the numbers of both."""
+        silver = rows.persist()
+        try:
+            sent = silver.agg(F.count("*"), F.count_if("is_fraud_suspect")).first()
+            if sent[0]:
+                self.silver(silver, batch_id)
+            if sent[1]:
+                self.alerts(alerts.alert_messages(silver), batch_id)
+            return sent[0], sent[1]
+        finally:
+            silver.unpersist()
+
+    def drain(self, spark: SparkSession) -> int:
+        """Score the rows that still wait for the watermark of a stream that has ended for
+        good; the number of them. Run again, it replaces its own output."""
+        schema = validate.valid_rows(
+            validate.validate(parse_payload(spark.createDataFrame([], S.BRONZE)))
+        ).withColumn("processed_at", F.current_timestamp()).schema
+        with settings(spark, ADAPTIVE_CONF):
+            left = self.velocity.rest(spark, schema)
+            if left is None:
+                return 0
+            return self._send(_silver(score_marked(left[0], self.scoring)), left[1])[0]
+
 
 def to_silver(
     checked: DataFrame,
@@ -198,8 +232,11 @@ def to_silver(
     scoring: Sequence[Rule] | None = None,
 ) -> DataFrame:
     """Scored silver rows of a checked static batch, velocity rule included."""
-    rows = score_with_velocity(validate.valid_rows(checked), velocity_batch, scoring)
-    return rows.withColumn("risk_score", F.col("risk_score").cast("double")).select(
+    return _silver(score_marked(mark_bursts(validate.valid_rows(checked), velocity_batch), scoring))
+
+
+def _silver(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("risk_score", F.col("risk_score").cast("double")).select(
         *S.SILVER.fieldNames()
     )
 

@@ -16,6 +16,8 @@ from riskloom.sinks import writers
 from riskloom.sinks.writers import append_stream, write_batch
 from riskloom.sources.readers import TOPIC_MESSAGE, table, table_stream
 from riskloom.streaming import alerts, bronze, silver
+from riskloom.streaming.alert_ids import LANES, AlertIds, following, free_lane
+from riskloom.streaming.held import TrailingVelocity
 
 from .conftest import rows_of
 
@@ -262,3 +264,125 @@ def test_every_row_reaches_a_sink(spark, tmp_path):
     kept = {r.transaction_id for r in table(spark, paths[0]).collect()}
     assert table(spark, paths[0]).count() + dead.count() == sum(map(len, BATCHES)) - 1 - 2
     assert kept == {"a", "b", "z", "n2"}
+
+
+def test_one_query_quarantines_after_dedup(spark, tmp_path):
+    paths = [str(tmp_path / n) for n in ("silver", "alerts", "dead")]
+    router = silver.Router(*[silver.table_sink(p) for p in paths])
+
+    def job(stream):
+        queries = silver.score_stream(
+            stream, router, str(tmp_path / "c"), available_now=True,
+            quarantine_after_dedup=True, watermark="10 minutes",
+        )
+        assert len(queries) == 1
+        queries[0].awaitTermination()
+
+    _feed(spark, tmp_path, job)
+    # rows without keys fall into one, and go to the dead letters once
+    assert table(spark, paths[2]).count() == 1
+    assert {r.transaction_id for r in table(spark, paths[0]).collect()} == {"a", "b", "z", "n2"}
+
+
+def _timed(spark, rows):
+    return spark.createDataFrame(
+        [(i, a, datetime.fromisoformat(f"2024-01-01T{t}") if t else None) for i, a, t in rows],
+        "transaction_id string, account_id string, event_time timestamp",
+    )
+
+
+TIMED = [
+    [("1", "A", "10:00:00"), ("2", "A", "10:05:00"), ("3", "B", "10:06:00"), ("4", "A", None)],
+    [("5", "A", "09:58:00"), ("6", "A", "10:30:00"), ("7", "B", "10:31:00")],
+    [],
+    [("8", "B", "10:25:00"), ("9", "A", "10:50:00"), ("10", "A", "11:20:00")],
+]
+
+
+def _released(spark, path, batches, **options):
+    """(id, hit) of all rows, batch by batch and then the rest."""
+    held = TrailingVelocity(path, seconds=1800, delay="10 minutes", **options)
+    seen, schema = [], None
+    for batch_id, batch in enumerate(batches):
+        rows = _timed(spark, batch)
+        schema = rows.schema
+        out = held.release(rows, batch_id)
+        seen.append({r.transaction_id: r.velocity_hit for r in out.collect()})
+    rest, following = held.rest(spark, schema)
+    assert following == len(batches)
+    return [*seen, {r.transaction_id: r.velocity_hit for r in rest.collect()}]
+
+
+def test_trailing_velocity_whatever_the_cut(spark, tmp_path):
+    cut = _released(spark, str(tmp_path / "a"), TIMED)
+    whole = _released(spark, str(tmp_path / "b"), [[r for b in TIMED for r in b]])
+    merged = {k: v for part in cut for k, v in part.items()}
+    assert merged == {k: v for part in whole for k, v in part.items()}
+    assert sum(map(len, cut)) == len(merged) == 10
+    # 09:58, 10:00, 10:05 are scored together though 09:58 came later
+    assert merged["2"] and not merged["1"] and not merged["4"]
+    assert cut[0] == {"4": False} and set(cut[1]) == {"5", "1", "2", "3"}
+    # at 10:30 are 10:00 and 10:05 still in the span, from an earlier batch's counts
+    assert merged["6"] and set(cut[2]) == set() and merged["8"] is False
+
+
+def test_trailing_velocity_repeats_a_batch(spark, tmp_path):
+    path = str(tmp_path / "held")
+    held = TrailingVelocity(path, seconds=1800, delay="10 minutes")
+    held.release(_timed(spark, TIMED[0]), 0)
+    first = rows_of(held.release(_timed(spark, TIMED[1]), 1))
+    assert rows_of(held.release(_timed(spark, TIMED[1]), 1)) == first
+    assert held.release(_timed(spark, TIMED[2]), 2).isEmpty()
+    with pytest.raises(ValueError, match="lacks what batch"):
+        held.release(_timed(spark, []), 5)
+
+
+def test_a_cut_stream_scores_as_a_whole_one(spark, tmp_path):
+    """Through the router: one start over all files, and a start for every file."""
+    found = []
+    for name, max_files in (("whole", None), ("cut", 1)):
+        base = tmp_path / name
+        router = silver.Router(
+            *[silver.table_sink(str(base / n)) for n in ("silver", "alerts", "dead")],
+            velocity=TrailingVelocity(str(base / "held"), seconds=3600),
+        )
+        path = str(base / "bronze")
+        hours = [[(f"{h}-{i}", f"{12 + h}:{i * 7:02d}:00") for i in range(8)] for h in range(3)]
+        for number, batch in enumerate(hours):
+            rows = _bronze_rows(spark, batch, number * 100).coalesce(1)
+            rows.write.mode("append").parquet(path)
+            if max_files or number == 2:
+                stream = table_stream(spark, path, S.BRONZE, max_files=max_files)
+                for query in silver.score_stream(stream, router, str(base / "c"), available_now=True):
+                    query.awaitTermination()
+        waiting = table(spark, str(base / "silver")).count()
+        assert waiting < 24 and router.drain(spark) == 24 - waiting
+        router.drain(spark)  # replaces its own output
+        rows = table(spark, str(base / "silver"))
+        found.append(rows_of(rows.select("transaction_id", "risk_score", "event_time")))
+    assert len(found[0]) == 24 and found[0] == found[1]
+
+
+def test_alert_ids_over_restarts(spark, tmp_path):
+    stored = spark.createDataFrame([(5 * LANES + 3,)], "alert_id long")
+    nothing = spark.createDataFrame([], "alert_id long")
+    given, number = set(), {}
+    for batch_id in range(6):
+        for stream in ("one", "two"):
+            ids = AlertIds(spark, str(tmp_path / "ids"))  # as after a restart
+            lane, first = ids.open(stream, batch_id, stored)
+            assert ids.open(stream, batch_id, nothing)[0] == lane
+            assert first == number.get(stream, 6)
+            assert batch_id == 0 or ids.open(stream, batch_id, nothing) == (lane, first)
+            new = {(first + i) * LANES + lane for i in range(3)}
+            assert not new & given
+            given |= new
+            rows = spark.createDataFrame([(i,) for i in new], "alert_id long")
+            number[stream] = following(rows, first)
+            ids.close(stream, batch_id, lane, number[stream])
+    assert max(given) < (6 + 6 * 3) * LANES and following(nothing, 9) == 9
+
+
+def test_lanes_differ():
+    lane = free_lane("a", set())
+    assert free_lane("a", {lane}) == (lane + 1) % LANES
