@@ -295,7 +295,8 @@ def train(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model:
     listed = set(ranked)
     positive = [v for u in ranked for v in _variants(u) if v in listed or not clean[v]]
     share = np.array([1.0 if u in listed else 0.1 for u in positive])
-    frequent = [u for u, _ in clean.most_common(FIT_UNITS // 4)]
+    # ties by the word, as the order of sets differs between runs
+    frequent = sorted(clean, key=lambda u: (-clean[u], u))[: FIT_UNITS // 4]
     rng = np.random.default_rng(7)
     others = sorted(set(clean).difference(frequent))
     drawn = [others[i] for i in rng.permutation(len(others))[: FIT_UNITS - len(frequent)]]
@@ -303,7 +304,7 @@ def train(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model:
     half = landmarks // 2
     model = empty
     for _ in range(3):
-        spelled = [f.join(u) for f in _FILLERS[:2] for u in ranked[: half // 4] if len(u) > 3]
+        spelled = [f.join(u) for f in _FILLERS[:4] for u in ranked[: half // 8] if len(u) > 3]
         chosen = ranked[:half] + spelled + negative[: half // 2]
         chosen += drawn[: max(landmarks - len(chosen), half // 4)]
         weights, bias = _fit(positive, negative, list(dict.fromkeys(chosen)), share)
