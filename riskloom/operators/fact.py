@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.scalars import date_key, money, score, surrogate_key
+from riskloom.operators.asof import asof_join
 from riskloom.operators.dedup import first_row
 from riskloom.operators.scd2 import backdate_first
-from riskloom.operators.skew import BROADCAST_ROWS, lookup_join
+from riskloom.operators.skew import BROADCAST_ROWS, fits, lookup_join
 
 SPREAD = ("transaction_id",)
 
@@ -21,14 +22,21 @@ def join_version(
     backdate: bool = True,
     broadcast_rows: int = BROADCAST_ROWS,
     counted: DataFrame | None = None,
+    bucket: str = "day",
 ) -> DataFrame:
-    """Add ``sk`` of the version that held at the event time, NULL if none did."""
+    """Add ``sk`` of the version that held at the event time, NULL if none did.
+
+    A small history is broadcast; a larger one is joined in the order of time, inside
+    ``bucket``s of it.
+    """
     versions = backdate_first(dim, key, backdate).select(
         key, sk, F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to")
     )
+    if not fits(versions, broadcast_rows):
+        return asof_join(rows, versions, key, [sk], "event_time", SPREAD, bucket, counted=counted)
     at = F.col("event_time")
     held = (at >= F.col("_from")) & (F.col("_to").isNull() | (at < F.col("_to")))
-    joined = lookup_join(rows, versions, [key], SPREAD, held, broadcast_rows, counted)
+    joined = lookup_join(rows, versions, [key], SPREAD, held, broadcast_rows)
     return joined.drop("_from", "_to")
 
 

@@ -13,7 +13,7 @@ from riskloom import schemas as S
 from riskloom.operators import checks
 from riskloom.operators.dims import dim_date, dim_merchant
 from riskloom.operators.fact import build_fact
-from riskloom.operators.scd2 import first_versions, scd2_apply
+from riskloom.operators.scd2 import conflicting_keys, first_versions, scd2_apply
 from riskloom.sinks.writers import save_table
 from riskloom.sources.readers import seed, table
 
@@ -40,6 +40,12 @@ class GoldRun:
         return f"{self.base}/{run or self.run}/{name}"
 
 
+SNAPSHOT_KEYS = [
+    ("raw_customers", S.RAW_CUSTOMERS, "customer_id"),
+    ("raw_accounts", S.RAW_ACCOUNTS, "account_id"),
+]
+
+
 def run_gold_batch(
     spark: SparkSession,
     job: GoldRun,
@@ -47,7 +53,8 @@ def run_gold_batch(
     loaded_at: Column | None = None,
     stop_on_failure: bool = True,
 ) -> DataFrame:
-    """Run the batch; returns the check results with a row count per table."""
+    """Run the batch; returns the check results with a row count per table, and with the
+    number of keys whose extract rows differ."""
 
     def save(name: str, df: DataFrame) -> DataFrame:
         if job.database:
@@ -85,6 +92,7 @@ def run_gold_batch(
     if stop_on_failure:
         checks.require(results)
     counts = [_row_count(df, t) for t, df, _ in declared]
+    counts += [_conflicts(spark, job, *c) for c in SNAPSHOT_KEYS]
     return reduce(DataFrame.unionByName, [results, *counts])
 
 
@@ -99,6 +107,18 @@ def _snapshot(spark, job, name, schema, key, sk, tracked, save) -> DataFrame:
     )
 
 
+def _conflicts(spark, job, raw: str, schema, key: str) -> DataFrame:
+    """Keys of an extract with rows that differ; one of these was taken."""
+    extract = table(spark, job.path(raw), job.fmt, schema)
+    return conflicting_keys(extract, key).select(
+        F.lit(raw).alias("table_name"),
+        F.lit("conflicting_keys").alias("check_name"),
+        F.lit(key).alias("column_name"),
+        F.col("failures").alias("violations"),
+        (F.col("failures") == 0).alias("passed"),
+    )
+
+
 def _row_count(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("violations")).select(
         F.lit(name).alias("table_name"),

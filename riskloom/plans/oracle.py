@@ -334,6 +334,12 @@ def _count(name: str, source: str) -> str:
     )
 
 
+def _conflicts(name: str, log: str, key: str) -> str:
+    """Keys with several rows in the third extract."""
+    rows = f"select 1 from {log} where k = 2 group by {key} having count(*) > 1"
+    return _check(name, "conflicting_keys", key, f"select count(*) n from ({rows})")
+
+
 ACTIONS = """
 acts as (
   select transaction_id, status, 'first look' as operator_notes,
@@ -472,6 +478,7 @@ ORACLE: dict[str, str] = {
         select t.transaction_id, t.event_time, d.date_sk from tx t
         left join dates d on cast(strftime(t.event_time, '%Y%m%d') as integer) = d.date_sk""",
     "fact_transactions": f"with {FACT} select * from fact",
+    "fact_transactions_large": f"with {FACT} select * from fact",
     "gold_batch_summary": f"with {GOLD} "
     + _union(
         [
@@ -480,6 +487,8 @@ ORACLE: dict[str, str] = {
             *MERCHANT_CHECKS,
             *DATE_CHECKS,
             *FACT_CHECKS,
+            _conflicts("raw_customers", "customer_log", "customer_id"),
+            _conflicts("raw_accounts", "account_log", "account_id"),
             _count("dim_customer", "customers"),
             _count("dim_account", "accounts"),
             _count("dim_merchant", "merchants"),

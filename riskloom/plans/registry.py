@@ -351,6 +351,14 @@ def fact_transactions(spark, sf_dir):
     return build_fact(rows, *_dimensions(spark, sf_dir), loaded_at=D.loaded_at())
 
 
+@query
+def fact_transactions_large(spark, sf_dir):
+    """The same with nothing broadcast but the calendar, as for dimensions of any size."""
+    rows = D.replayed(D.silver(D.tx(spark, sf_dir)))
+    dimensions = _dimensions(spark, sf_dir)
+    return build_fact(rows, *dimensions, loaded_at=D.loaded_at(), broadcast_rows=0)
+
+
 def _write_seeds(spark, sf_dir, number) -> str:
     path = scratch_path(spark, "seeds")
     for name, rows in (

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom import schemas as S
-from riskloom.operators import dedup, fact, scd2
+from riskloom.operators import asof, dedup, fact, scd2
+from riskloom.plans import gold
 from riskloom.operators.dims import dim_date, dim_merchant
 from riskloom.plans import dataset as D
 
@@ -211,3 +212,49 @@ def test_conflicting_rows_of_a_key_are_counted(spark):
     extract = _extract(spark, rows)
     assert scd2.conflicting_keys(extract, "id").first()["failures"] == 1
     assert scd2.first_versions(extract, "id", "sk", START).count() == 3
+
+
+@pytest.mark.parametrize("per_slice", [3, 1_000_000])
+def test_asof_as_a_range_join(spark, per_slice):
+    rng = random.Random(2)
+    start = datetime(2024, 1, 1)
+    spans = []
+    for key in ("hot", "a", "b"):
+        at = start
+        for n in range(60 if key == "hot" else 4):
+            begin = at + timedelta(minutes=rng.randrange(1, 900))
+            at = begin + timedelta(minutes=rng.randrange(1, 900))
+            end = None if n == 59 else at
+            spans.append((key, f"{key}{n}", begin, end))
+            at += timedelta(minutes=rng.choice([0, 0, 300]))  # some gaps between versions
+    spans.append((None, "no key", start, None))
+    versions = spark.createDataFrame(spans, "k string, sk string, _from timestamp, _to timestamp")
+    rows = [
+        (f"t{i}", rng.choice(["hot"] * 6 + ["a", "b", "c", None]),
+         start + timedelta(minutes=rng.randrange(80_000)))
+        for i in range(400)
+    ]
+    rows += [(f"e{i}", k, at) for i, (k, _, begin, end) in enumerate(spans) for at in (begin, end)]
+    events = spark.createDataFrame(rows, "id string, k string, at timestamp")
+    joined = asof.asof_join(events, versions, "k", ["sk"], "at", ["id", "at"], "day", per_slice)
+    assert joined.columns == ["id", "k", "at", "sk"]
+
+    def held(key, at):
+        for k, sk, begin, end in spans:
+            if key is not None and k == key and at and begin <= at and (end is None or at < end):
+                return sk
+        return None
+
+    expected = sorted(((i, k, at, held(k, at)) for i, k, at in rows), key=repr)
+    assert rows_of(joined) == expected
+    assert len({r[3] for r in expected}) > 50
+
+
+def test_conflicting_extract_rows_are_reported(spark, tmp_path):
+    extract = spark.createDataFrame(
+        [("c1", "x"), ("c1", "y"), ("c2", "x"), ("c2", "x")], "customer_id string, city string"
+    )
+    extract.write.parquet(str(tmp_path / "run" / "raw_customers"))
+    job = gold.GoldRun(str(tmp_path), "run", "2024-01-01", "")
+    row = gold._conflicts(spark, job, "raw_customers", extract.schema, "customer_id").first()
+    assert (row.violations, row.passed, row.check_name) == (1, False, "conflicting_keys")
