@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom import schemas as S
@@ -85,6 +85,17 @@ def risk_history(dim_customer: DataFrame, customer_id: str | None = None) -> Dat
     return rows.filter(F.col("customer_id") == customer_id).orderBy(F.desc("valid_from"))
 
 
+def customer_versions(dim_customer: DataFrame, customers: DataFrame) -> DataFrame:
+    """Versions of the customers whose ``customer_id`` is given, numbered from the newest.
+
+    A customer's versions are few, whatever the number of customers.
+    """
+    wanted = customers.select("customer_id").distinct()
+    rows = risk_history(dim_customer).join(wanted, "customer_id", "left_semi")
+    newest = Window.partitionBy("customer_id").orderBy(F.desc("valid_from"))
+    return rows.withColumn("version_rank", F.row_number().over(newest))
+
+
 def fraud_metrics(fact: DataFrame) -> DataFrame:
     """One row of totals; the rate is 0 for an empty fact."""
     suspect = F.col("is_fraud_suspect")

@@ -555,6 +555,16 @@ ORACLE: dict[str, str] = {
         select customer_id, full_name, email, risk_profile, valid_from, valid_to,
           valid_to is null as is_current
         from customers""",
+    "customer_versions": f"""with {TX},{CUSTOMERS}
+        select customer_id, full_name, email, risk_profile, valid_from, valid_to,
+          valid_to is null as is_current,
+          row_number() over (partition by customer_id order by valid_from desc) as version_rank
+        from customers where customer_id in (select customer_id from tx where currency = 'USD')""",
+    "scan_silver_days": f"""with {SILVER}
+        select event_date, count(*) as tx_count,
+          cast(sum(cast(amount as decimal(18, 2))) as double) as amount
+        from silver where event_date >= '2024-01-10' and event_date < '2024-01-20'
+        group by event_date""",
     "alerts_upsert_ignore": f"""with {SILVER},{ALERTS}
         select transaction_id, account_id, customer_id, amount, risk_score, risk_level,
           fraud_reason, 'PENDING' as status, cast(null as varchar) as operator_notes, event_time,

@@ -102,18 +102,33 @@ def dlq_rows(spark, sf_dir):
     )
 
 
-@query
-def scan_silver(spark, sf_dir):
-    """Silver written as a table by day, then read with a pruned scan."""
+def _silver_by_day(spark, sf_dir) -> DataFrame:
     path = scratch_path(spark, "silver")
     rows = D.silver(D.tx(spark, sf_dir))
     columns = [c for c in S.SILVER.fieldNames() if c in rows.columns]
     save_partitioned(rows.select(*columns), path, partition_by=["event_date"])
-    return table(spark, path).select(
+    return table(spark, path)
+
+
+@query
+def scan_silver(spark, sf_dir):
+    """Silver written as a table by day, then read with the columns it needs."""
+    return _silver_by_day(spark, sf_dir).select(
         "transaction_id", "account_id", "amount", "risk_score", "event_date"
     )
 
 
+@query
+def scan_silver_days(spark, sf_dir):
+    """Ten days of silver: only their folders are read."""
+    day = F.col("event_date")
+    rows = _silver_by_day(spark, sf_dir).filter((day >= "2024-01-10") & (day < "2024-01-20"))
+    return rows.groupBy(day.cast("string").alias("event_date")).agg(
+        F.count("*").alias("tx_count"),
+        F.sum(scalars.money("amount")).cast("double").alias("amount"),
+    )
+
+
 @query
 def scalar_functions(spark, sf_dir):
     rows = D.tx(spark, sf_dir)
@@ -516,6 +531,13 @@ def risk_profile_history(spark, sf_dir):
     return serving.risk_history(D.customer_history(spark, sf_dir))
 
 
+@query
+def customer_versions(spark, sf_dir):
+    """Versions of every customer who paid in dollars, newest first."""
+    payers = D.tx(spark, sf_dir).filter(F.col("currency") == "USD")
+    return serving.customer_versions(D.customer_history(spark, sf_dir), payers)
+
+
 @query
 def alerts_upsert_ignore(spark, sf_dir):
     """Alerts of replayed transactions that dollar and euro alerts do not hold yet."""

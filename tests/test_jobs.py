@@ -81,3 +81,11 @@ def test_shared_folder_and_settings(spark):
         assert spark.conf.get("spark.sql.adaptive.enabled") == "false"
     assert spark.conf.get("spark.sql.adaptive.enabled") == before
     assert spark.conf.get("riskloom.test", None) is None
+
+
+def test_a_day_filter_prunes_folders(spark, sf_dir):
+    from riskloom.plans.registry import QUERIES
+
+    plan = QUERIES["scan_silver_days"](spark, sf_dir)._jdf.queryExecution().toString()
+    filters = [line for line in plan.splitlines() if "PartitionFilters: [" in line]
+    assert any("event_date" in line.split("PartitionFilters: [")[1].split("]")[0] for line in filters)
