@@ -14,6 +14,7 @@ from riskloom.operators import checks
 from riskloom.operators.dims import dim_date, dim_merchant
 from riskloom.operators.fact import build_fact
 from riskloom.operators.scd2 import conflicting_keys, first_versions, scd2_apply
+from riskloom.sinks.versions import HistoryStore
 from riskloom.sinks.writers import save_table
 from riskloom.sources.readers import seed, table
 
@@ -24,7 +25,9 @@ class GoldRun:
 
     Each run has folders of its own, so a failed run is simply started again, and
     no table is replaced while something reads it. With a ``database`` its tables
-    point to the latest run.
+    point to the latest run. With a folder ``histories`` the versioned dimensions are kept
+    there in a ``HistoryStore``, which never writes closed versions again; ``previous`` is
+    then not needed, and the catalog has no table of theirs.
     """
 
     base: str
@@ -35,6 +38,7 @@ class GoldRun:
     fmt: str = "parquet"
     close_missing: bool = False
     database: str | None = None
+    histories: str | None = None
 
     def path(self, name: str, run: str | None = None) -> str:
         return f"{self.base}/{run or self.run}/{name}"
@@ -45,6 +49,8 @@ SNAPSHOT_KEYS = [
     ("raw_accounts", S.RAW_ACCOUNTS, "account_id"),
 ]
 
+HISTORIES = {"dim_customer": S.DIM_CUSTOMER, "dim_account": S.DIM_ACCOUNT}
+
 
 def run_gold_batch(
     spark: SparkSession,
@@ -99,6 +105,12 @@ def run_gold_batch(
 def _snapshot(spark, job, name, schema, key, sk, tracked, save) -> DataFrame:
     raw = name.replace("dim_", "raw_") + "s"
     extract = save(raw, seed(spark, f"{job.seeds}/{raw}", schema))
+    if job.histories:
+        store = HistoryStore(
+            spark, f"{job.histories}/{name}", HISTORIES[name], key, tuple(tracked), sk,
+            job.close_missing,
+        )
+        return store.apply(extract, job.snapshot_at, job.run)
     if job.previous is None:
         return save(name, first_versions(extract, key, sk, job.snapshot_at))
     history = table(spark, job.path(name, job.previous), job.fmt)

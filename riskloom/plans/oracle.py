@@ -649,3 +649,20 @@ ORACLE: dict[str, str] = {
           case when (alert_id - 1) % 7 = 0 then event_time end as event_time, risk_score
         from alerts where (alert_id - 1) % 7 = 0 or (alert_id - 1) % 11 = 0""",
 }
+
+_QUEUE = """status = 'PENDING'
+        order by risk_score desc, event_time desc, transaction_id limit 50"""
+ORACLE.update(
+    {
+        "stream_alert_restart_indexed": ORACLE["stream_alert_restart"],
+        "fraud_metrics_kept": ORACLE["fraud_metrics"],
+        "alerts_queue_kept": f"""select * from ({ORACLE["alerts_triage_apply"]}) where {_QUEUE}""",
+        "check_unique_growing": f"with {TX},{REPLAYED.format(source='tx')} "
+        + _union([_unique("transactions", "replayed", "transaction_id")]),
+        "scd2_store_customer": FOLD_CUSTOMERS,
+        "table_replace": """select seen, o_orderstatus, count(*) as order_count,
+            cast(sum(cast(o_totalprice as decimal(18,2))) as double) as total
+          from orders, (values ('before'), ('after')) as v(seen)
+          where seen = 'before' or o_orderstatus <> 'O' group by 1, 2""",
+    }
+)

@@ -19,7 +19,10 @@ from riskloom.plans import stream_jobs
 from riskloom.plans.comparable import comparable
 from riskloom.plans.gold import GoldRun, run_gold_batch
 from riskloom.session import prepare, scratch_path, written
-from riskloom.sinks.writers import save_partitioned
+from riskloom.sinks.kept import KeptMetrics, KeptQueue, both
+from riskloom.sinks.keyed import GrowingUnique, KeyStore
+from riskloom.sinks.versions import HistoryStore, VersionedTable
+from riskloom.sinks.writers import save_partitioned, write_batch
 from riskloom.sources.readers import seed, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -641,3 +644,90 @@ def stream_alert_restart(spark, sf_dir):
 @query
 def alerts_rejected(spark, sf_dir):
     return stream_jobs.alerts_rejected(spark, sf_dir)
+
+
+@query
+def stream_alert_restart_indexed(spark, sf_dir):
+    """The same alerts where each batch looks its transactions up in buckets of stored ones,
+    which are compacted after every batch."""
+    return stream_jobs.alert_restart(spark, sf_dir, key_buckets=64, compact_every=1)
+
+
+# --- Kept between runs ------------------------------------------------------
+
+BATCHES = 3
+
+
+def _batches(rows: DataFrame, number: str = "kafka_offset") -> list[DataFrame]:
+    """Rows in batches, the last one twice, as after a failure."""
+    part = F.pmod(F.coalesce(F.col(number), F.lit(0)), F.lit(BATCHES))
+    parts = [(i, rows.filter(part == i)) for i in range(BATCHES)]
+    return [*parts, parts[-1]]
+
+
+@query
+def fraud_metrics_kept(spark, sf_dir):
+    """Metrics added up from what each batch of the fact left behind."""
+    base = scratch_path(spark, "kept")
+    kept = KeptMetrics(spark, f"{base}/totals")
+    sink = both(lambda rows, i: write_batch(rows, f"{base}/fact", i), kept.add)
+    rows = D.silver(D.tx(spark, sf_dir)).withColumn("amount", scalars.money("amount"))
+    rows = written(rows.drop("rule_hits"), "silver")
+    for number, batch in _batches(rows):
+        sink(batch, number)
+    return kept.metrics()
+
+
+@query
+def alerts_queue_kept(spark, sf_dir):
+    """The queue after triage, out of the first alerts of each batch."""
+    kept = KeptQueue(spark, scratch_path(spark, "queue"))
+    rows = written(_alerts(spark, sf_dir), "alerts")
+    for number, batch in _batches(rows, "alert_id"):
+        kept.add(batch, number)
+    return kept.first(written(D.triage_actions(D.tx(spark, sf_dir)), "actions"))
+
+
+@query
+def check_unique_growing(spark, sf_dir):
+    """Uniqueness of a table that came in batches, each checked as it came."""
+    keys = KeyStore(spark, scratch_path(spark, "keys"), S.struct_of("transaction_id string"), 64)
+    growing = GrowingUnique(keys)
+    rows = written(D.replayed(D.tx(spark, sf_dir)).select("transaction_id", "kafka_offset"), "tx")
+    for number, batch in _batches(rows):
+        growing.add(batch, number)
+        if number == 0:
+            keys.compact()
+    return growing.result("transactions")
+
+
+@query
+def scd2_store_customer(spark, sf_dir):
+    """Extract after extract into a store that never writes closed versions again."""
+    store = HistoryStore(
+        spark, scratch_path(spark, "store"), S.DIM_CUSTOMER, "customer_id", S.CUSTOMER_TRACKED,
+        "customer_sk",
+    )
+    log = D.customer_log(spark, sf_dir)
+    for number, at in enumerate(D.SNAPSHOTS):
+        store.apply(D.extract(log, number), at, at)
+    return store.history()
+
+
+@query
+def table_replace(spark, sf_dir):
+    """A table replaced out of itself: orders by status before, read while it was replaced,
+    and after."""
+    versions = VersionedTable(spark, scratch_path(spark, "versions"))
+    versions.replace(D.source(spark, sf_dir, "orders"), "all")
+    before = versions.read()
+    versions.replace(before.filter("o_orderstatus <> 'O'"), "closed")
+    parts = [("before", before), ("after", versions.read())]
+    counts = [
+        rows.groupBy("o_orderstatus").agg(
+            F.count("*").alias("order_count"),
+            F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total"),
+        ).withColumn("seen", F.lit(name))
+        for name, rows in parts
+    ]
+    return counts[0].unionByName(counts[1])

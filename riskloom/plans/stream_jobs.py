@@ -254,7 +254,7 @@ def _alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.select("key", F.coalesce(value, "value").alias("value"), number.alias("number"))
 
 
-def _consume_in_turns(spark: SparkSession, sf_dir: str) -> tuple[Folders, int]:
+def _consume_in_turns(spark: SparkSession, sf_dir: str, **options) -> tuple[Folders, int]:
     """Two streams into one alert table, each stopped and started again for every part;
     the second one's messages are all of the first's and more."""
     folders = Folders(scratch_path(spark, "stream"))
@@ -270,15 +270,16 @@ def _consume_in_turns(spark: SparkSession, sf_dir: str) -> tuple[Folders, int]:
                 folders.checkpoint(name),
                 now=D.loaded_at(),
                 available_now=True,
+                **options,
             ).awaitTermination()
             starts += 1
     return folders, starts
 
 
-def alert_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+def alert_restart(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     """Alerts and their ids after two streams with restarts: as many ids as alerts, and ids
     that stay small."""
-    folders, starts = _consume_in_turns(spark, sf_dir)
+    folders, starts = _consume_in_turns(spark, sf_dir, **options)
     stored = alerts.stored_alerts(spark, folders.table("operational_alerts"))
     bound = LANES * (starts + 1) * 1024 * 1024
     return stored.rollup("risk_level").agg(

@@ -158,6 +158,14 @@ def publish(messages: DataFrame, servers: str, topic: str, **options: str) -> No
     )
 
 
+def with_batch_header(messages: DataFrame, batch_id: int, stream: str | None = None) -> DataFrame:
+    """Messages with the key of their micro-batch as a header."""
+    stream = running_stream(messages.sparkSession) if stream is None else stream
+    value = F.lit(str(batch_key(stream, batch_id))).cast("binary")
+    header = F.struct(F.lit("batch").alias("key"), value.alias("value"))
+    return messages.withColumn("headers", F.array(header))
+
+
 def empty_table(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> None:
     """An empty first batch, so that a reader finds the table from the start."""
     write_batch(spark.createDataFrame([], schema), path, -1, fmt)

@@ -23,7 +23,13 @@ from riskloom.operators.dedup import dedup_stream
 from riskloom.operators.rules import Rule
 from riskloom.operators.velocity import mark_bursts, score_marked
 from riskloom.session import ADAPTIVE_CONF, scratch_path, settings
-from riskloom.sinks.writers import append_stream, each_batch, write_batch
+from riskloom.sinks.writers import (
+    append_stream,
+    each_batch,
+    publish,
+    with_batch_header,
+    write_batch,
+)
 from riskloom.streaming.held import TrailingVelocity
 
 log = logging.getLogger(__name__)
@@ -245,6 +251,12 @@ def table_sink(path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
     return lambda rows, batch_id: write_batch(rows, path, batch_id, fmt, partition_by)
 
 
+def topic_sink(servers: str, topic: str, **options: str) -> Sink:
+    """Messages to a topic, each with its batch's key in the header ``batch``: a repeated
+    batch sends its messages again, and readers know them by the header and the key."""
+    return lambda rows, batch_id: publish(with_batch_header(rows, batch_id), servers, topic, **options)
+
+
 def route(
     rows: DataFrame, router: Router, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
