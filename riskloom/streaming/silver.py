@@ -19,7 +19,7 @@ from riskloom import schemas as S
 from riskloom.operators import alerts, rules, validate
 from riskloom.operators.bronze import parse_payload
 from riskloom.operators.checks import CheckFailed
-from riskloom.operators.dedup import dedup_stream
+from riskloom.operators.dedup import dedup_stream, first_row
 from riskloom.operators.rules import Rule
 from riskloom.operators.velocity import mark_bursts, score_marked
 from riskloom.session import ADAPTIVE_CONF, scratch_path, settings
@@ -63,6 +63,7 @@ def deduplicated_stream(
     processed_at: Column | None = None,
     thin: bool = True,
     known_currency: bool = True,
+    untimed: bool = True,
     **options,
 ) -> DataFrame:
     """Parsed and deduplicated rows with their validity columns, for a router to score.
@@ -71,13 +72,16 @@ def deduplicated_stream(
     ``quarantine``, which ``score_stream`` starts along with this. Without
     ``known_currency`` rows of other currencies go on to the router and its policy.
     ``quarantine_after_dedup`` keeps broken rows in the stream through the dedup step,
-    where all rows with NULL keys fall into one.
+    where all rows with NULL keys fall into one. A row without event time never leaves the
+    state; ``untimed=False`` leaves such rows out.
     """
     rows = _checked(bronze, known_currency and not quarantine_after_dedup, options)
     if quarantine_after_dedup:
         rows = dedup_stream(rows, watermark, thin=thin)
     else:
         good = rows.filter("is_valid").drop("raw_payload")
+        if not untimed:
+            good = good.filter(F.col("event_time").isNotNull())
         rows = dedup_stream(good, watermark, thin=thin).withColumn(
             "raw_payload", F.lit(None).cast("string")
         )
@@ -97,8 +101,11 @@ def score_stream(
     """Quarantine and scoring over ``bronze`` in one call: every row goes to one of the
     router's sinks, but for copies and rows behind the watermark.
 
-    The stateless query sends broken rows to the router's dead letters, the stateful one
-    deduplicates and routes the others; each has a checkpoint below ``checkpoint``. With
+    The stateless query sends broken rows to the router's dead letters, and rows without
+    event time to silver: the watermark could never take these out of the dedup state, so of
+    them one per transaction and micro-batch stays. The stateful query deduplicates and
+    routes the others. Each has a checkpoint below ``checkpoint``, and sinks get batches of
+    both, which ``write_batch`` keeps apart. With
     ``quarantine_after_dedup`` the stateful one alone runs and routes all rows.
     Further options are those of ``deduplicated_stream``.
     """
@@ -107,6 +114,7 @@ def score_stream(
         quarantine_after_dedup,
         processed_at=processed_at,
         known_currency=known_currency,
+        untimed=False,
         **options,
     )
     if quarantine_after_dedup:
@@ -114,13 +122,13 @@ def score_stream(
     checks = {k: v for k, v in options.items() if k not in ("watermark", "thin")}
     broken = _stamped(_checked(bronze, known_currency, checks), processed_at)
 
-    def to_dead_letters(batch: DataFrame, batch_id: int) -> None:
-        router.dead_letters(dead_letters(batch, router.scoring), batch_id)
-
-    letters = each_batch(
-        broken.filter("not is_valid"), to_dead_letters, f"{checkpoint}/broken", available_now
+    beside = each_batch(
+        broken.filter("not is_valid or event_time is null"),
+        router.route_beside,
+        f"{checkpoint}/broken",
+        available_now,
     )
-    return letters, route(rows, router, f"{checkpoint}/scored", available_now)
+    return beside, route(rows, router, f"{checkpoint}/scored", available_now)
 
 
 def _checked(bronze: DataFrame, known_currency: bool, options: dict) -> DataFrame:
@@ -171,6 +179,25 @@ class Router:
             staged, counts = self._stage(batch, batch_id)
             self._route(staged, counts, batch_id)
 
+    def route_beside(self, batch: DataFrame, batch_id: int) -> None:
+        """Route a micro-batch of rows that have no place in the dedup state: broken ones, and
+        good ones without event time, whose velocity counts among each other."""
+        session = batch.sparkSession
+        with settings(session, ADAPTIVE_CONF):
+            batch = batch.persist()
+            try:
+                if self.on_violation == "fail":
+                    bad = batch.filter(F.col("is_valid") & validate.bad_currency()).count()
+                    if bad:
+                        raise CheckFailed(f"batch {batch_id}: {bad} unknown currencies")
+                checked = validate.quarantine_currency(batch)
+                self.dead_letters(dead_letters(checked, self.scoring), batch_id)
+                good = checked.filter("is_valid")
+                once = first_row(good, ["transaction_id"], ["processed_at", "kafka_offset"])
+                self._send(to_silver(once, self.velocity_batch, self.scoring), batch_id)
+            finally:
+                batch.unpersist()
+
     def _stage(self, batch: DataFrame, batch_id: int) -> tuple[DataFrame, dict[str, int]]:
         spark = batch.sparkSession
         self.staging = self.staging or scratch_path(spark, "staging")

@@ -266,6 +266,45 @@ def test_every_row_reaches_a_sink(spark, tmp_path):
     assert kept == {"a", "b", "z", "n2"}
 
 
+def test_rows_without_time_stay_out_of_the_state(spark, tmp_path):
+    paths = [str(tmp_path / n) for n in ("silver", "alerts", "dead")]
+    router = silver.Router(*[silver.table_sink(p) for p in paths])
+    path = str(tmp_path / "bronze")
+    batches = [[("n", None), ("n", None), ("m", None), ("a", "12:00:00")], [("b", "16:00:00")]]
+    for number, batch in enumerate(batches):
+        _bronze_rows(spark, batch, number * 100).coalesce(1).write.mode("append").parquet(path)
+        stream = table_stream(spark, path, S.BRONZE)
+        for query in silver.score_stream(stream, router, str(tmp_path / "c"), available_now=True):
+            query.awaitTermination()
+    kept = [r.transaction_id for r in table(spark, paths[0]).collect()]
+    assert sorted(kept) == ["a", "b", "m", "n"]
+    # 16:00 moved the watermark past 12:00; nothing else was ever there
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 1
+
+
+def test_unknown_currency_without_time(spark, tmp_path):
+    rows = _bronze_rows(
+        spark, ['{"transaction_id":"x","amount":5,"currency":"XXX"}', "{bad", ("n", None)], 0
+    )
+    rows.coalesce(1).write.parquet(str(tmp_path / "bronze"))
+    stream = table_stream(spark, str(tmp_path / "bronze"), S.BRONZE)
+    seen = {"silver": [], "alerts": [], "dead": []}
+    for query in silver.score_stream(
+        stream, _collecting_router(seen), str(tmp_path / "c"), True, known_currency=False
+    ):
+        query.awaitTermination()
+    assert [r.transaction_id for r in seen["silver"]] == ["n"]
+    assert sorted(r.dlq_reason for r in seen["dead"]) == sorted(
+        [S.REASON_INVALID_CURRENCY, S.REASON_MISSING_ID]
+    )
+    failing = _collecting_router(seen, on_violation="fail")
+    with pytest.raises(Exception, match="unknown currencies"):
+        for query in silver.score_stream(
+            stream, failing, str(tmp_path / "c2"), True, known_currency=False
+        ):
+            query.awaitTermination()
+
+
 def test_one_query_quarantines_after_dedup(spark, tmp_path):
     paths = [str(tmp_path / n) for n in ("silver", "alerts", "dead")]
     router = silver.Router(*[silver.table_sink(p) for p in paths])
