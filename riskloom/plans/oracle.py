@@ -623,6 +623,19 @@ ORACLE: dict[str, str] = {
         where payment_method = 'PIX' and event_time <= (
           select date_trunc('millisecond', max(event_time)) - interval 10 minute from tx
           where payment_method <> 'PIX')""",
+    "stream_late_sink": f"""with {TX},{_validated('tx', currency=True)},
+        middle as (
+          select min(event_time) + to_microseconds(
+            (epoch_us(max(event_time)) - epoch_us(min(event_time))) // 2) as half from tx),
+        parts as (
+          select v.*, event_time < half and payment_method <> 'PIX' as early
+          from validated v, middle where dlq_reason is null),
+        passed as (
+          select date_trunc('millisecond', max(event_time)) - interval 10 minute as bound
+          from parts where early)
+        select case when not early and event_time <= bound then 'late' else 'silver' end as sink,
+          transaction_id, amount, payment_method, event_time, processed_at
+        from parts, passed""",
     "stream_alert_upsert": f"""with {SILVER},{ALERTS}
         select transaction_id, account_id, customer_id, amount, risk_score, risk_level,
           fraud_reason, 'PENDING' as status, event_time,

@@ -621,6 +621,11 @@ def stream_late_rows(spark, sf_dir):
     return stream_jobs.late(spark, sf_dir)
 
 
+@query
+def stream_late_sink(spark, sf_dir):
+    return stream_jobs.late_sink(spark, sf_dir)
+
+
 @query
 def stream_alert_upsert(spark, sf_dir):
     return stream_jobs.alert_upsert(spark, sf_dir)

@@ -223,6 +223,37 @@ def late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dropped.select("transaction_id", "account_id", "amount", "event_time")
 
 
+def late_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``score_stream`` with a sink for late rows: in a second run come all PIX transactions
+    and what is left of the others, all of them twice. Rows by the sink they reached."""
+    folders = Folders(scratch_path(spark, "stream"))
+    router = silver.Router(
+        *[silver.table_sink(folders.table(n)) for n in ("silver", "alerts", "dead_letters")],
+        late=silver.table_sink(folders.table("late")),
+    )
+    rows = D.tx(spark, sf_dir)
+    low, high = rows.agg(F.min("event_time"), F.max("event_time")).first()
+    middle = F.lit(low + (high - low) / 2).cast("timestamp")
+    early = (F.col("event_time") < middle) & (F.col("payment_method") != "PIX")
+    rest = rows.filter(~early)
+    for part in (rows.filter(early), rest.unionByName(rest)):
+        part = envelope(D.payload_messages(part), D.ingested_at())
+        part.write.mode("append").parquet(folders.table("bronze"))
+        stream = table_stream(spark, folders.table("bronze"), S.BRONZE)
+        for query in silver.score_stream(
+            stream, router, folders.checkpoint("score"), True, _processed_at(), late_cells=(3600, 8)
+        ):
+            query.awaitTermination()
+    columns = ("transaction_id", "amount", "payment_method", "event_time", "processed_at")
+    scored, late = (
+        table(spark, folders.table(name)).select(F.lit(name).alias("sink"), *columns)
+        for name in ("silver", "late")
+    )
+    # Late copies in different Arrow batches all reach the sink.
+    late = late.distinct()
+    return scored.unionByName(late)
+
+
 def alert_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored stream to alert messages to operational alerts."""
     folders = Folders(scratch_path(spark, "stream"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from riskloom.operators import alerts, rules, validate
 from riskloom.operators.bronze import parse_payload
 from riskloom.operators.checks import CheckFailed
 from riskloom.operators.dedup import dedup_stream, first_row
+from riskloom.operators.late import LANES, SPAN_SECONDS, dedup_or_late
 from riskloom.operators.rules import Rule
 from riskloom.operators.velocity import mark_bursts, score_marked
 from riskloom.session import ADAPTIVE_CONF, scratch_path, settings
@@ -64,6 +66,8 @@ def deduplicated_stream(
     thin: bool = True,
     known_currency: bool = True,
     untimed: bool = True,
+    mark_late: bool = False,
+    late_cells: tuple[int, int] = (SPAN_SECONDS, LANES),
     **options,
 ) -> DataFrame:
     """Parsed and deduplicated rows with their validity columns, for a router to score.
@@ -73,16 +77,20 @@ def deduplicated_stream(
     ``known_currency`` rows of other currencies go on to the router and its policy.
     ``quarantine_after_dedup`` keeps broken rows in the stream through the dedup step,
     where all rows with NULL keys fall into one. A row without event time never leaves the
-    state; ``untimed=False`` leaves such rows out.
+    state; ``untimed=False`` leaves such rows out. With ``mark_late`` rows behind the watermark
+    are not dropped but marked in a column ``is_late``; rows without event time then take no
+    state. ``late_cells`` are the seconds and lanes of ``dedup_or_late``.
     """
+    cells = dict(zip(("span_seconds", "lanes"), late_cells))
+    dedup = partial(dedup_or_late, **cells) if mark_late else dedup_stream
     rows = _checked(bronze, known_currency and not quarantine_after_dedup, options)
     if quarantine_after_dedup:
-        rows = dedup_stream(rows, watermark, thin=thin)
+        rows = dedup(rows, watermark, thin=thin)
     else:
         good = rows.filter("is_valid").drop("raw_payload")
         if not untimed:
             good = good.filter(F.col("event_time").isNotNull())
-        rows = dedup_stream(good, watermark, thin=thin).withColumn(
+        rows = dedup(good, watermark, thin=thin).withColumn(
             "raw_payload", F.lit(None).cast("string")
         )
     return _stamped(rows, processed_at)
@@ -99,7 +107,8 @@ def score_stream(
     **options,
 ) -> tuple[StreamingQuery, ...]:
     """Quarantine and scoring over ``bronze`` in one call: every row goes to one of the
-    router's sinks, but for copies and rows behind the watermark.
+    router's sinks, but for copies and, if the router has no sink for them, rows behind the
+    watermark.
 
     The stateless query sends broken rows to the router's dead letters, and rows without
     event time to silver: the watermark could never take these out of the dedup state, so of
@@ -115,11 +124,12 @@ def score_stream(
         processed_at=processed_at,
         known_currency=known_currency,
         untimed=False,
+        mark_late=router.late is not None,
         **options,
     )
     if quarantine_after_dedup:
         return (route(rows, router, f"{checkpoint}/scored", available_now),)
-    checks = {k: v for k, v in options.items() if k not in ("watermark", "thin")}
+    checks = {k: v for k, v in options.items() if k not in ("watermark", "thin", "late_cells")}
     broken = _stamped(_checked(bronze, known_currency, checks), processed_at)
 
     beside = each_batch(
@@ -162,7 +172,8 @@ class Router:
     The micro-batch is first written to ``staging`` (by default in the shared folder,
     two batches kept) and counted on the way. The velocity rule joins the batch to its
     own counts; from files, neither that nor a lost executor runs the stateful plan
-    again.
+    again. Rows marked ``is_late`` (``deduplicated_stream(mark_late=True)``) go to the sink
+    ``late`` unscored, with ``dlq_reason`` where they are broken.
     """
 
     silver: Sink
@@ -173,10 +184,16 @@ class Router:
     scoring: Sequence[Rule] | None = None
     staging: str | None = None
     velocity: TrailingVelocity | None = None
+    late: Sink | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with settings(batch.sparkSession, ADAPTIVE_CONF):
             staged, counts = self._stage(batch, batch_id)
+            if "is_late" in staged.columns:
+                if counts["late"]:
+                    late = staged.filter("is_late")
+                    self.late(late.drop("is_late", "is_valid", "raw_payload"), batch_id)
+                staged = staged.filter("not is_late").drop("is_late")
             self._route(staged, counts, batch_id)
 
     def route_beside(self, batch: DataFrame, batch_id: int) -> None:
@@ -202,13 +219,15 @@ class Router:
         spark = batch.sparkSession
         self.staging = self.staging or scratch_path(spark, "staging")
         path = f"{self.staging}/slot={batch_id % 2}"
-        valid = F.col("is_valid")
+        late = F.col("is_late") if "is_late" in batch.columns else F.lit(False)
+        valid = F.col("is_valid") & ~late
         counts = Observation()
         batch.observe(
             counts,
             F.count_if(valid).alias("valid"),
-            F.count_if(~valid).alias("broken"),
+            F.count_if(~F.col("is_valid") & ~late).alias("broken"),
             F.count_if(valid & validate.bad_currency()).alias("bad_currency"),
+            F.count_if(late).alias("late"),
         ).write.mode("overwrite").parquet(path)
         return spark.read.schema(batch.schema).parquet(path), counts.get
 
