@@ -15,7 +15,8 @@ def sample(
     The rows with the lowest hash of their id are taken, so the sample is the same in each
     run. ``where`` is a condition on ``doc_id``. Labels other than 0 and 1 and null ids are
     left out. The ids are no more than that, so they are broadcast and only the
-    chosen texts come to the driver.
+    chosen texts come to the driver. Of repeated rows of an id the smallest text counts, once;
+    an id with both labels may count under each.
     """
     rows = labels.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")
@@ -31,6 +32,8 @@ def sample(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
         .where(F.col("text").isNotNull())
         .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "draw", "label")
+        .agg(F.min("text").alias("text"))
         .select("draw", "text", "label")
         .toArrow()
         .sort_by([("draw", "ascending"), ("text", "ascending")])
