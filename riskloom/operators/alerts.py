@@ -39,7 +39,8 @@ def _read_messages(messages: DataFrame) -> DataFrame:
     )
     payload = F.from_json(F.col("value").cast("string"), texts)
     others = [c for c in messages.columns if c not in ("key", "value")]
-    rows = messages.select(*others, payload.alias("p")).select(*others, "p.*")
+    # inlined, each message is parsed once, whatever is filtered later
+    rows = messages.select(*others, F.inline(F.array(payload)))
     return rows.withColumn("event_time", F.col("event_time").try_cast("timestamp"))
 
 

@@ -24,13 +24,14 @@ def envelope(messages: DataFrame, ingested_at: Column | None = None) -> DataFram
 
 
 def parse_payload(bronze: DataFrame) -> DataFrame:
-    """Payload columns under the fixed schema; a malformed payload gives NULLs."""
-    parsed = bronze.select(
+    """Payload columns under the fixed schema; a malformed payload gives NULLs.
+
+    ``inline`` keeps each payload parsed once; fields of a plain struct column would be
+    parsed again in every filter and projection that Spark moves below it.
+    """
+    return bronze.select(
         "raw_payload",
-        F.from_json("raw_payload", PAYLOAD).alias("p"),
+        F.inline(F.array(F.from_json("raw_payload", PAYLOAD))),
         "kafka_offset",
         F.col("ingestion_date").alias("bronze_ingestion_date"),
     )
-    return parsed.select(
-        "raw_payload", "p.*", "kafka_offset", "bronze_ingestion_date"
-    )

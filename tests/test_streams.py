@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskloom import schemas as S
 from riskloom.operators import rules, validate
+from riskloom.operators.alerts import extract_alerts, rejected_alerts
 from riskloom.operators.bronze import parse_payload
 from riskloom.operators.checks import CheckFailed
 from riskloom.operators.dedup import dedup_stream, dedup_stream_by_id, late_rows
@@ -425,3 +426,18 @@ def test_alert_ids_over_restarts(spark, tmp_path):
 def test_lanes_differ():
     lane = free_lane("a", set())
     assert free_lane("a", {lane}) == (lane + 1) % LANES
+
+
+def test_each_payload_is_parsed_once(spark):
+    rows = [(b"k", json.dumps({"transaction_id": "t", "amount": 5}).encode())]
+    messages = spark.createDataFrame(rows, "key binary, value binary")
+    bronze_rows = spark.createDataFrame([], S.BRONZE)
+    checked = validate.validate(parse_payload(bronze_rows))
+    for df in (
+        validate.valid_rows(checked),
+        silver.dead_letters(checked.withColumn("processed_at", F.current_timestamp())),
+        extract_alerts(messages),
+        rejected_alerts(messages),
+    ):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1
