@@ -2,17 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.scalars import date_key, money, score, surrogate_key
-from riskloom.operators.asof import asof_join
+from riskloom.operators.asof import asof_join, asof_join_all, meetings
 from riskloom.operators.dedup import first_row
 from riskloom.operators.scd2 import backdate_first
 from riskloom.operators.skew import BROADCAST_ROWS, fits, lookup_join
 
 SPREAD = ("transaction_id",)
 
+# Columns of silver that the fact is made of; no others are shuffled.
+FACT_INPUT = (
+    "transaction_id",
+    "customer_id",
+    "account_id",
+    "merchant_id",
+    "amount",
+    "currency",
+    "payment_method",
+    "risk_score",
+    "is_fraud_suspect",
+    "fraud_reason",
+    "event_time",
+    "processed_at",
+    "kafka_offset",
+)
+
 
 def join_version(
     rows: DataFrame,
@@ -29,9 +48,7 @@ def join_version(
     A small history is broadcast; a larger one is joined in the order of time, inside
     ``bucket``s of it.
     """
-    versions = backdate_first(dim, key, backdate).select(
-        key, sk, F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to")
-    )
+    versions = _versions(dim, key, sk, backdate)
     if not fits(versions, broadcast_rows):
         return asof_join(rows, versions, key, [sk], "event_time", SPREAD, bucket, counted=counted)
     at = F.col("event_time")
@@ -40,6 +57,38 @@ def join_version(
     return joined.drop("_from", "_to")
 
 
+def _versions(dim: DataFrame, key: str, sk: str, backdate: bool) -> DataFrame:
+    return backdate_first(dim, key, backdate).select(
+        key, sk, F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to")
+    )
+
+
+def join_versions(
+    rows: DataFrame,
+    dims: Sequence[tuple[DataFrame, str, str]],
+    backdate: bool = True,
+    broadcast_rows: int = BROADCAST_ROWS,
+    counted: DataFrame | None = None,
+) -> DataFrame:
+    """``join_version`` for several (dimension, key, sk).
+
+    Large histories share one shuffle of the rows, if the versions that the combinations of
+    keys meet there are no more than the rows; else each has its own.
+    """
+    large = [d for d in dims if not fits(d[0], broadcast_rows)]
+    together = []
+    if len(large) > 1:
+        n_rows, met = meetings(rows if counted is None else counted, [d[:2] for d in large])
+        together = large if met <= n_rows else []
+    for dim, key, sk in dims:
+        if (dim, key, sk) not in together:
+            rows = join_version(rows, dim, key, sk, backdate, broadcast_rows, counted)
+    if not together:
+        return rows
+    histories = [(_versions(*d, backdate), d[1], [d[2]]) for d in together]
+    return asof_join_all(rows, histories, "event_time", SPREAD, counted=counted)
+
+
 def join_merchant(
     rows: DataFrame,
     merchants: DataFrame,
@@ -77,12 +126,23 @@ def build_fact(
     blocked: DataFrame | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Pass dimensions that are tables: each is counted before it is broadcast."""
+    """Pass dimensions that are tables: each is counted before it is broadcast.
+
+    Versions are joined last: rows then lie by their keys, and the fact's files hold long
+    runs of one version.
+    """
     size = {"broadcast_rows": broadcast_rows, "counted": silver}
-    rows = first_row(silver, ["transaction_id"], ["processed_at", "kafka_offset"])
-    rows = join_version(rows, customers, "customer_id", "customer_sk", backdate, **size)
-    rows = join_version(rows, accounts, "account_id", "account_sk", backdate, **size)
-    rows = join_merchant(rows, merchants, **size)
+    needed = silver.select(*FACT_INPUT).withColumns(
+        {"amount": money("amount"), "risk_score": score("risk_score")}
+    )
+    rows = first_row(needed, ["transaction_id"], ["processed_at", "kafka_offset"])
+    rows = rows.drop("processed_at", "kafka_offset")
+    rows = join_merchant(rows, merchants, **size).drop("merchant_id")
+    histories = [
+        (customers, "customer_id", "customer_sk"),
+        (accounts, "account_id", "account_sk"),
+    ]
+    rows = join_versions(rows, histories, backdate, **size)
     rows = join_date(rows, dates)
     if blocked is None:
         rows = rows.withColumn("is_blocked_flag", F.lit(False))
@@ -96,10 +156,10 @@ def build_fact(
         "account_sk",
         "merchant_sk",
         "date_sk",
-        money("amount").alias("amount"),
+        "amount",
         "currency",
         "payment_method",
-        score("risk_score").alias("risk_score"),
+        "risk_score",
         "is_fraud_suspect",
         "is_blocked_flag",
         "fraud_reason",

@@ -250,6 +250,70 @@ def test_asof_as_a_range_join(spark, per_slice):
     assert len({r[3] for r in expected}) > 50
 
 
+@pytest.mark.parametrize("per_slice", [1_000_000, 3])
+def test_asof_of_two_keys_at_once(spark, per_slice):
+    rng = random.Random(3)
+    start = datetime(2024, 1, 1)
+
+    def history(prefix):
+        spans = []
+        for n in range(5):
+            at = start
+            for v in range(n + 1):
+                end = at + timedelta(minutes=rng.randrange(1, 600))
+                spans.append((f"{prefix}{n}", f"{prefix}{n}.{v}", at, None if v == n else end))
+                at = end + timedelta(minutes=rng.choice([0, 0, 100]))
+        return [*spans, (None, "no key", start, None), (f"{prefix}9", "no start", None, None)]
+
+    customers, accounts = history("c"), history("a")
+    rows = [
+        (f"t{i}", rng.choice(["c1", "c2", "c4", "c7", "c9", None]),
+         rng.choice(["a3", "a3", "a4", "a8", None]),
+         rng.choice([None] + [start + timedelta(minutes=rng.randrange(-300, 3000))] * 20))
+        for i in range(300)
+    ]
+    rows += [(f"e{i}", "c4", a, b) for i, (a, _, b, _) in enumerate(accounts)]
+    rows += [(f"f{i}", c, "a4", b) for i, (c, _, _, b) in enumerate(customers)]
+    events = spark.createDataFrame(rows, "id string, c string, a string, at timestamp")
+
+    def versions(spans, key, sk):
+        return spark.createDataFrame(
+            spans, f"{key} string, {sk} string, _from timestamp, _to timestamp"
+        )
+
+    histories = [
+        (versions(customers, "c", "c_sk"), "c", ["c_sk"]),
+        (versions(accounts, "a", "a_sk"), "a", ["a_sk"]),
+    ]
+    joined = asof.asof_join_all(events, histories, "at", ["id"], per_slice)
+    assert joined.columns == ["id", "c", "a", "at", "c_sk", "a_sk"]
+
+    def held(spans, key, at):
+        for k, sk, begin, end in spans:
+            if key and k == key and at and begin and begin <= at and (end is None or at < end):
+                return sk
+        return None
+
+    expected = [(i, c, a, at, held(customers, c, at), held(accounts, a, at)) for i, c, a, at in rows]
+    assert rows_of(joined) == sorted(expected, key=repr)
+    assert len({r[4:] for r in expected}) > 20
+    pairs = {(c, a) for _, c, a, _ in rows}
+    met = sum(s[0] == c for c, _ in pairs for s in customers if c)
+    met += sum(s[0] == a for _, a in pairs for s in accounts if a)
+    assert asof.meetings(events, [h[:2] for h in histories]) == (len(rows), met)
+
+
+def test_large_fact_finds_first_rows_once(spark, sf_dir):
+    """No step of the fact runs a second time for rows without key or time."""
+    rows = D.silver(D.tx(spark, sf_dir)).localCheckpoint()
+    customers, accounts = D.customer_history(spark, sf_dir), D.account_history(spark, sf_dir)
+    seeds = D.raw_merchants(spark, sf_dir)
+    dims = [d.localCheckpoint() for d in (customers, accounts, dim_merchant(seeds))]
+    large = fact.build_fact(rows, *dims, dim_date(spark), D.loaded_at(), broadcast_rows=0)
+    plan = large._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("row_number() windowspecdefinition(transaction_id") == 1
+
+
 def test_conflicting_extract_rows_are_reported(spark, tmp_path):
     extract = spark.createDataFrame(
         [("c1", "x"), ("c1", "y"), ("c2", "x"), ("c2", "x")], "customer_id string, city string"
