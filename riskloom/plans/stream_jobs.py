@@ -92,8 +92,11 @@ def silver_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Runs of the same checkpoint that a stream is cut into, each with the next part in time.
-PARTS = 4
+# Runs of the same checkpoint that a stream is cut into, each a micro-batch with the next part in
+# time: rows that came after later ones would miss the counts that these have closed. Files stay
+# small, so that all cores read a micro-batch.
+PARTS = 8
+ROWS_PER_FILE = 100_000
 TRAILING_SECONDS = 6 * 3600
 
 
@@ -105,6 +108,13 @@ def _parts(rows: DataFrame) -> list[DataFrame]:
     return [rows.filter(number == i) for i in range(PARTS)]
 
 
+def _append_part(part: DataFrame, path: str) -> None:
+    """Append transactions to a bronze table; all cores write, however the source was cut."""
+    cores = part.sparkSession.sparkContext.defaultParallelism
+    rows = envelope(D.payload_messages(part.repartition(cores, "kafka_offset")), D.ingested_at())
+    rows.write.mode("append").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
+
+
 def silver_score_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trailing velocity rule over a stream cut into many micro-batches."""
     folders = Folders(scratch_path(spark, "stream"))
@@ -115,9 +125,8 @@ def silver_score_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         velocity=TrailingVelocity(folders.table("waiting"), TRAILING_SECONDS),
     )
     for part in _parts(D.replayed(D.tx(spark, sf_dir))):
-        rows = envelope(D.payload_messages(part), D.ingested_at())
-        rows.coalesce(2).write.mode("append").parquet(folders.table("bronze"))
-        stream = table_stream(spark, folders.table("bronze"), S.BRONZE, max_files=1)
+        _append_part(part, folders.table("bronze"))
+        stream = table_stream(spark, folders.table("bronze"), S.BRONZE)
         for query in silver.score_stream(
             stream, router, folders.checkpoint("score"), True, _processed_at()
         ):

@@ -1,5 +1,5 @@
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -441,3 +441,26 @@ def test_each_payload_is_parsed_once(spark):
     ):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("from_json(") == 1
+
+
+def test_score_batches_of_a_table_out_of_order(spark, tmp_path):
+    """Files of the table that each span the whole time: counts go on over the micro-batches."""
+    start = datetime(2024, 1, 1)
+    for user in (1, 2):
+        rows = [
+            (100 * user + n, start + timedelta(hours=n), user, "view", 1.0, "{}") for n in range(80)
+        ]
+        events = spark.createDataFrame(
+            rows,
+            "event_id long, ts timestamp, user_id long, event_type string, value double, props string",
+        )
+        events.coalesce(1).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    scored = stream_jobs.silver_score_batches(spark, str(tmp_path)).collect()
+    first = {}
+    accounts = {r.account_id for r in scored}
+    for account in accounts:
+        first[account] = sorted(r.event_time for r in scored if r.account_id == account)[:2]
+    assert len(accounts) == 2 and len(scored) > 150
+    for r in scored:
+        # from an account's third hour on there are three rows or more in six hours
+        assert (r.risk_score > 0.5) == (r.event_time not in first[r.account_id])
