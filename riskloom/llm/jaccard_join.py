@@ -14,7 +14,9 @@ tree of its own.
 
 Buckets never come as all pairs. First every member is compared with the bucket's smallest
 id alone, and linked texts get a common label. Then trees are built for buckets that still
-hold different labels, and subtrees under one label aren't compared.
+hold different labels, and subtrees under one label aren't compared. Texts that are nearly
+linked share many cells; a pair is left to the first of them that the lowest names of both
+texts tell.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ PERCENT = 80
 GROUPS = 256
 # Points of a tree's leaf, and members of a bucket that one task compares.
 LEAF, TILE = 32, 4096
+# Lowest cell names of a text that a bucket knows; more of them leave fewer pairs to two buckets.
+LEAST = 32
 # Sizes of one class are cut into the same cells; the largest is so many times the smallest.
 CLASS = 2
 # Word hashes a worker remembers; only speed depends on it.
@@ -286,8 +290,28 @@ class Tree:
                     yield a[x], b[y]
 
 
+def _rows_of(column: pa.Array) -> np.ndarray:
+    """Lists of up to ``LEAST`` names as rows, filled up with the highest number."""
+    out = np.full((len(column), LEAST), np.iinfo(np.int64).max)
+    size = column.value_lengths().to_numpy()
+    out[np.arange(LEAST) < size[:, None]] = column.flatten().to_numpy()
+    return out
+
+
+def _met_before(cell: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether two texts (a row of names each) share a name below ``cell``.
+
+    Both are in that name's bucket, which compares them unless its smallest id is one of them:
+    then they have been compared already.
+    """
+    met = np.zeros(len(x), bool)
+    for k in range(LEAST):
+        met |= (x[:, k] < cell) & (x[:, k, None] == y).any(1)
+    return met
+
+
 def _compared(percent: int):
-    """Pairs of a bucket, or of two parts of one, that may be linked."""
+    """Pairs of a bucket, or of two parts of one, that may be linked and met in no lower bucket."""
 
     def compare(rows: pa.Table) -> pa.Table:
         ids = rows["id"].to_numpy()
@@ -295,11 +319,13 @@ def _compared(percent: int):
         _, labels = np.unique(rows["label"].to_numpy(), return_inverse=True)
         part = rows["part"].to_numpy()
         tree = Tree(_points_of(rows["point"].combine_chunks()), sizes, labels)
-        low, high = rows["low"][0].as_py(), rows["high"][0].as_py()
+        cell, low, high = (rows[c][0].as_py() for c in ("cell", "low", "high"))
+        least = _rows_of(rows["least"].combine_chunks())
         left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for x, y in tree.pairs(percent):
             # pairs inside a part belong to the group of that part alone
             own = (part[x] != part[y]) | (low == high)
+            own &= ~_met_before(cell, least[x], least[y])
             left.append(ids[x[own]])
             right.append(ids[y[own]])
         a, b = np.concatenate(left), np.concatenate(right)
@@ -335,12 +361,17 @@ class _Join:
     def __init__(self, rows: DataFrame, percent: int):
         self.rows, self.percent = rows, percent
         self.described = written(rows.mapInArrow(_described(percent), DESCRIBED), "described")
-        filled = self.described.where("n_shingles > 0 and id is not null").drop("cells")
+        filled = self.described.where("n_shingles > 0 and id is not null")
         # texts with equal sets are one from here on: the smallest id stands for them
         self.same = written(filled.groupBy("digest").agg(F.min("id").alias("id")), "same")
         self.points = written(
             filled.join(self.same, ["digest", "id"], "left_semi")
-            .select("id", F.col("n_shingles").alias("n"), "point")
+            .select(
+                "id",
+                F.col("n_shingles").alias("n"),
+                "point",
+                F.slice(F.array_sort(F.array_distinct("cells")), 1, LEAST).alias("least"),
+            )
             .distinct(),
             "points",
         )
@@ -348,10 +379,11 @@ class _Join:
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are linked: by their points, then by their full sets."""
         p = self.percent
+        points = self.points.drop("least")
         near = written(
             pairs.distinct()
-            .join(_renamed(self.points, "a", "a"), "a")
-            .join(_renamed(self.points, "b", "b"), "b")
+            .join(_renamed(points, "a", "a"), "a")
+            .join(_renamed(points, "b", "b"), "b")
             .mapInArrow(_possible(p), "a long, b long")
             .distinct(),
             "near",

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import math
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -31,6 +32,7 @@ from riskloom.llm import (
     top_k,
     toxicity,
 )
+from riskloom.session import written
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, ids int, M string"
 LONG = "word " * 30_000 + "x" * 20_000
@@ -435,6 +437,24 @@ def test_class_model_beats_the_base(spark, sf_dir, texts):
     assert held.score.sum() > held.base_score.sum()
 
 
+def _shuffle_files(spark):
+    held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(held.apply(i).getName().startswith("shuffle_") for i in range(held.size()))
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    rows = spark.range(1000).withColumn("n", F.col("id") % 7)
+    before = _shuffle_files(spark)
+    found = written(rows.repartition(5, "n"), "test")
+    left = _shuffle_files(spark)
+    for _ in range(50):  # Spark deletes them beside its work
+        if left <= before:
+            break
+        time.sleep(0.1)
+        left = _shuffle_files(spark)
+    assert left <= before and found.count() == 1000
+
+
 def test_class_model_sums_to_one():
     units = brown_lm._Units([b"a", b"b"])
     size = np.concatenate([[5.0, 3.0, 2.0], np.zeros(brown_lm.SHAPES)])

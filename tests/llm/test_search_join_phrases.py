@@ -8,6 +8,7 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry_point
@@ -252,6 +253,33 @@ def test_tree_loses_no_pair():
     assert len(found) == len(set(found)) and set(found) == expected and expected
 
 
+def test_pairs_of_many_buckets_come_from_one():
+    # a few texts of which each two share most shingles, but are not linked
+    rng = np.random.default_rng(10)
+    common = rng.integers(0, 1 << 63, 1700, dtype=np.uint64)
+    sets = [np.unique(np.append(common, rng.integers(0, 1 << 63, 300, dtype=np.uint64))) for _ in range(8)]
+    names = [np.unique(jaccard_join.cells(s).view(np.int64)) for s in sets]
+    found, buckets = Counter(), Counter()
+    for cell in np.unique(np.concatenate(names)):
+        ids = [i for i, n in enumerate(names) if cell in n]
+        for pair in combinations(ids, 2):
+            buckets[pair] += 1
+        n = len(ids)
+        bucket = {
+            "id": pa.array(ids, pa.int64()),
+            "n": pa.array([len(sets[i]) for i in ids], pa.int64()),
+            "label": pa.array(ids, pa.int64()),
+            "point": pa.array([jaccard_join.point(sets[i]).tobytes() for i in ids], pa.binary()),
+            "least": pa.array([names[i][:32].tolist() for i in ids], pa.list_(pa.int64())),
+            **{c: pa.array([0] * n, pa.int32()) for c in ("part", "low", "high")},
+            "cell": pa.array([cell] * n, pa.int64()),
+        }
+        pairs = jaccard_join._compared(80)(pa.table(bucket))
+        found.update(zip(pairs["b"].to_pylist(), pairs["a"].to_pylist(), strict=True))
+    assert set(found) == set(combinations(range(8), 2)) and min(buckets.values()) > 20
+    assert found.total() <= 2 * len(found)
+
+
 # --- collocations ---------------------------------------------------------------------
 
 
