@@ -455,6 +455,19 @@ def test_written_tables_leave_no_shuffle_files(spark):
     assert left <= before and found.count() == 1000
 
 
+def test_class_model_leaves_no_shuffle_files(spark):
+    docs = spark.createDataFrame([(i, f"a b{i % 3} c{i % 5}") for i in range(60)], "doc_id long, text string")
+    before = _shuffle_files(spark)
+    found = brown_lm.scored(docs)
+    left = _shuffle_files(spark)
+    for _ in range(50):
+        if left <= before:
+            break
+        time.sleep(0.1)
+        left = _shuffle_files(spark)
+    assert left <= before and found.count() == 60
+
+
 def test_class_model_sums_to_one():
     units = brown_lm._Units([b"a", b"b"])
     size = np.concatenate([[5.0, 3.0, 2.0], np.zeros(brown_lm.SHAPES)])
