@@ -234,6 +234,51 @@ def test_search_against_all_scores(spark, sf_dir, texts):
         assert [r["rank"] for r in found[query]] == list(range(1, len(best) + 1))
 
 
+def test_search_in_groups_of_queries(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.4)) % 900}" for _ in range(40)), "en") for i in range(600)]
+    rows += [(i + 600, t, "de") for i, t, _ in rows[:40]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole = [tuple(r) for r in top_k.search(docs).orderBy("query_id", "rank").collect()]
+    names, write = [], top_k.written
+    monkeypatch.setattr(top_k, "written", lambda df, name: names.append(name) or write(df, name))
+    monkeypatch.setattr(top_k, "LEAST_GROUP", 1000)
+    monkeypatch.setattr(top_k, "LEAST_SHARDS", 40)
+    grouped = [tuple(r) for r in top_k.search(docs).orderBy("query_id", "rank").collect()]
+    # a group's terms are no more for a shard than its share of the text
+    assert names.count("found") > 1
+    assert grouped == whole
+    # equal texts score the same in any shard, and the smaller id comes first
+    assert [r[2] for r in whole if r[0] == 0][:2] == [0, 600]
+    assert len({r[3] for r in whole if r[0] == 0 and r[2] in (0, 600)}) == 1
+
+
+def test_index_scores_few_documents():
+    rng = random.Random(7)
+    texts = [" ".join(f"{i // 500}w{int(rng.paretovariate(0.4)) % 5000}" for _ in range(60)) for i in range(2000)]
+    found = [top_k.terms_of(t)[0] for t in texts]
+    terms, held = np.unique(np.concatenate(found), return_counts=True)
+    index = top_k.Index(texts, 60.0, terms[held > 250])
+    rows = []
+
+    class Columns(np.ndarray):
+        def __getitem__(self, key):
+            out = super().__getitem__(key)
+            if not isinstance(key, tuple):
+                rows.append(len(out))
+            return out.view(np.ndarray)
+
+    index.columns = index.columns.view(Columns)
+    every = np.log1p((2000 - held + 0.5) / (held + 0.5))
+    for query in range(0, 2000, 100):
+        rows.clear()
+        idf = every[np.searchsorted(terms, found[query])]
+        docs, scores = index.search(found[query], idf, 10)
+        assert docs[scores.argmax()] == query and 10 <= len(docs) < 20
+        # blocks of documents without a word of the query are not read
+        assert sum(rows) <= 500
+
+
 def test_shards(spark, sf_dir, texts):
     rows = queries.op4_sharding(spark, sf_dir).toPandas()
     assert len(rows) == len(texts)
