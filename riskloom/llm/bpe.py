@@ -236,6 +236,12 @@ class Encoder:
         yield from self.encode(some)
 
 
+@lru_cache(maxsize=4)
+def kept_encoder(path: str, pattern: str) -> Encoder:
+    """The encoder of a worker, which keeps its pre-tokens from task to task."""
+    return Encoder(load_ranks(path), pattern)
+
+
 def encoder(ranks: dict[bytes, int], pattern: str) -> Callable[[str], bytes]:
     """Function from a text to its ids, four bytes each."""
     coder = Encoder(ranks, pattern)
@@ -251,7 +257,7 @@ def encode(text: Column, path: str, pattern: str) -> Column:
 
     @F.arrow_udf(ENCODED)
     def ids(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = Encoder(load_ranks(path), pattern)
+        coder = kept_encoder(path, pattern)
         for array in texts:
             out = list(coder.encode_in_turn(t.as_py() or "" for t in array))
             yield pa.StructArray.from_arrays(

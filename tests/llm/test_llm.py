@@ -96,6 +96,16 @@ def test_lower_rank_interrupts_a_bucket():
     assert bpe.merge(b"ababc", ranks, bpe.RankQueue(9)) == [3, 2]
 
 
+def test_bpe_keeps_pre_tokens_between_tasks(monkeypatch):
+    path = public_tokenizers.path(queries.MULTI_BPE)
+    texts = [f"zqxjk{i} wvbnm{i}" for i in range(50)]
+    first = list(bpe.kept_encoder(path, public_tokenizers.PATTERN).encode_in_turn(texts))
+    merged, merge_all = [], bpe.merge_all
+    monkeypatch.setattr(bpe, "merge_all", lambda pieces, *rest: merged.extend(pieces) or merge_all(pieces, *rest))
+    again = list(bpe.kept_encoder(path, public_tokenizers.PATTERN).encode_in_turn([*texts, "zqxjk vbnmq"]))
+    assert again[:-1] == first and set(merged) <= {b"zqxjk", b" vbnmq"}
+
+
 def _plain_bpe(piece, ranks):
     parts = [piece[i : i + 1] for i in range(len(piece))]
     while True:
