@@ -559,6 +559,22 @@ def test_words_below_any_share_get_classes_of_their_own(spark):
     assert of[unit[b"xzz"]] != of[unit[b"yzz"]]
 
 
+def test_packed_counts_come_in_small_batches(spark, monkeypatch):
+    seen, write = defaultdict(set), brown_lm.written
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+
+    def noted(df, label):
+        seen[label].add(int(spark.conf.get(name)))
+        return write(df, label)
+
+    monkeypatch.setattr(brown_lm, "written", noted)
+    rows = [(i, f"a b{i % 7} c d{i % 3} e") for i in range(60)]
+    assert brown_lm.scored(spark.createDataFrame(rows, "doc_id long, text string")).count() == 60
+    assert seen["contexts"] == {32} and seen["words"] == {1024}
+    assert spark.conf.get(name) == before
+
+
 def _comparable(rows):
     return sorted(map(repr, rows))
 
