@@ -664,3 +664,32 @@ def test_all_operators_and_the_pipeline_are_registered():
     assert {n for n in names if n.startswith("op") and n[2].isdigit()} == set(queries.QUERIES)
     numbers = [int(n[2 : n.index("_")]) for n in queries.QUERIES]
     assert numbers == list(range(1, 14)) and "pipeline" in names
+
+
+def test_search_builds_each_index_once(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.4)) % 900}" for _ in range(40)), "en") for i in range(1000)]
+    rows += [(None, t, "en") for _, t, _ in rows[:70]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    built, names, write = [], [], top_k.written
+    monkeypatch.setattr(top_k, "written", lambda df, name: names.append(name) or built.append(write(df, name)) or built[-1])
+    monkeypatch.setattr(top_k, "LEAST_GROUP", 2000)
+    monkeypatch.setattr(top_k, "PIECE", 1000)
+    found = defaultdict(list)
+    for r in top_k.search(docs).orderBy("query_id", "rank").collect():
+        found[r.query_id].append((r.doc_id, r.score))
+    # several groups of queries read shards that were indexed once
+    assert names.count("index") == 1 and names.count("found") > 1
+    index = built[names.index("index")]
+    assert index.count() == 8 and index.agg({"n": "sum"}).first()[0] == len(rows)
+    bags = [Counter(t.encode().split()) for _, t, _ in rows]
+    held, mean = Counter(w for c in bags for w in c), sum(c.total() for c in bags) / len(bags)
+    for query in range(0, 1000, 50):
+        scores = {}
+        for i, c in enumerate(bags[:1000]):
+            norm = 1.2 * (0.25 + 0.75 * c.total() / mean)
+            idf = {w: math.log1p((len(bags) - held[w] + 0.5) / (held[w] + 0.5)) for w in bags[query]}
+            scores[i] = sum(idf[w] * c[w] * 2.2 / (c[w] + norm) for w in bags[query] if w in c)
+        best = sorted(scores.items(), key=lambda x: (-round(x[1], 9), x[0]))[:10]
+        assert [i for i, _ in found[query]] == [i for i, _ in best]
+        assert np.allclose([x for _, x in found[query]], [x for _, x in best])
