@@ -693,3 +693,45 @@ def test_search_builds_each_index_once(spark, monkeypatch):
         best = sorted(scores.items(), key=lambda x: (-round(x[1], 9), x[0]))[:10]
         assert [i for i, _ in found[query]] == [i for i, _ in best]
         assert np.allclose([x for _, x in found[query]], [x for _, x in best])
+
+
+def test_word_perplexity_by_brute_force_in_rounds(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.6)) % 300}" for _ in range(rng.randrange(60))) for _ in range(120)]
+    docs = [(i, t, "en") for i, t in enumerate(texts)] + [(7, texts[7], "en"), (None, texts[8], None), (500, None, "en")]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    names, write = [], kneser_ney.written
+    monkeypatch.setattr(kneser_ney, "written", lambda df, name: names.append(name) or write(df, name))
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
+    rows = kneser_ney.judged(table, labels, kneser_ney.WORDS).collect()
+    # n-grams are shuffled in parts, one after the other
+    assert names.count("scored") == kneser_ney.ROUNDS > 1
+    grams = Counter()
+    for i, t, _ in docs:
+        if i is not None and i < 60 and zlib.crc32(str(i).encode()) % 10:
+            data = [None, None, *t.split()]
+            grams.update(zip(data, data[1:], data[2:], strict=False))
+    tables = [grams]
+    for _ in range(2):
+        tables.append(Counter(g[1:] for g in tables[-1]))
+    tables, offs = tables[::-1], []
+    for table in tables:
+        n = Counter(table.values())
+        y = n[1] / (n[1] + 2 * n[2])
+        offs.append([0, *(min(max(k - (k + 1) * y * n[k + 1] / n[k], 0), k) if n[k] else 0.5 for k in (1, 2, 3))])
+
+    def probability(gram):
+        p = 1 / (len(tables[0]) + 1)
+        for order, (table, d) in enumerate(zip(tables, offs, strict=True), 1):
+            g = gram[3 - order :]
+            seen = [c for x, c in table.items() if x[:-1] == g[:-1]]
+            if seen:
+                p = (table[g] - d[min(table[g], 3)] + sum(d[min(c, 3)] for c in seen) * p) / sum(seen)
+        return p
+
+    found = {r.doc_id: r.perplexity for r in rows}
+    assert len(rows) == len(docs) and found[500] is None
+    for i, t, _ in docs[::9] + docs[-3:-1]:
+        data = [None, None, *t.split()]
+        logs = [math.log(probability(g)) for g in zip(data, data[1:], data[2:], strict=False)]
+        assert math.isclose(found[i], math.exp(-sum(logs) / len(logs)), rel_tol=1e-9) if logs else found[i] is None
